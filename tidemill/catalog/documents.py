@@ -9,7 +9,7 @@ from tidemill.catalog.tables import money, table
 from tidemill.functions.labels import duration_text
 from tidemill.functions.records import times_as_text
 from tidemill.plans import documents
-from tidemill.scratch import new_path
+from tidemill.scratch import new_path, write_table
 from tidemill.sinks.files import write_documents
 from tidemill.sources.files import read_json_doc
 
@@ -18,16 +18,16 @@ KEEP_NULLS = {"ignoreNullFields": "false"}
 
 
 def _seats(spark: SparkSession, folder: str, code: str) -> DataFrame:
-    """Line numbers as seats: each once per parent and class, however often it repeats."""
-    return (
-        table(spark, folder, "lineitem")
-        .select(
-            F.col(code).alias("aircraft_code"),
-            F.col("l_linenumber").cast("string").alias("seat_no"),
-            F.col("l_returnflag").alias("fare_conditions"),
-        )
-        .distinct()
+    """Line numbers as seats: each once per parent and class, however often it repeats.
+
+    Written, as a seat table would be, since documents read it twice.
+    """
+    seats = table(spark, folder, "lineitem").select(
+        F.col(code).alias("aircraft_code"),
+        F.col("l_linenumber").cast("string").alias("seat_no"),
+        F.col("l_returnflag").alias("fare_conditions"),
     )
+    return write_table(seats.distinct(), "seats")
 
 
 def aircraft_seat_document(spark: SparkSession, folder: str) -> DataFrame:
@@ -216,7 +216,7 @@ _TICKETS = """
 
 SQL = {
     "aircraft_seat_document": """
-        SELECT o_orderkey AS aircraft_code, o_orderpriority AS model, o_custkey AS range, 0 AS part,
+        SELECT o_orderkey AS aircraft_code, o_orderpriority AS model, o_custkey AS range, 0 AS part, 1 AS parts,
                STRING_AGG(seat, ',' ORDER BY seat) FILTER (WHERE flag = 'A') AS economy_seats,
                STRING_AGG(seat, ',' ORDER BY seat) FILTER (WHERE flag = 'N') AS business_seats,
                STRING_AGG(seat, ',' ORDER BY seat) FILTER (WHERE flag = 'R') AS comfort_seats
@@ -248,7 +248,7 @@ SQL = {
             JOIN customer ON o_custkey = c_custkey
             JOIN supplier ON l_suppkey = s_suppkey
         )
-        SELECT f.l_orderkey AS flight_id, 0 AS part, CAST(f.l_linenumber AS VARCHAR) AS flight_no,
+        SELECT f.l_orderkey AS flight_id, 1 AS aircraft_parts, CAST(f.l_linenumber AS VARCHAR) AS flight_no,
                CAST(json_object('aircraft_code', a.p_partkey, 'model', a.p_name, 'range', a.p_size,
                     'economy_seats', a.economy_seats, 'business_seats', a.business_seats,
                     'comfort_seats', a.comfort_seats) AS VARCHAR) AS aircraft,
@@ -278,7 +278,7 @@ SQL = {
         JOIN airports r ON c_nationkey = r.n_nationkey
     """,
     "booking_document": f"""
-        SELECT c_custkey AS book_ref, 0 AS part, c_mktsegment AS book_date,
+        SELECT c_custkey AS book_ref, 0 AS part, 1 AS parts, c_mktsegment AS book_date,
                c_acctbal AS total_amount,
                CAST(to_json(LIST(json_object('ticket_no', ticket_no, 'flight_id', flight_id,
                     'passenger_id', passenger_id, 'passenger_name', passenger_name,

@@ -65,7 +65,8 @@ def split_large_groups(
     part_size: int = PART_SIZE,
     sizes: DataFrame | None = None,
 ) -> DataFrame:
-    """Add ``part``: 0, except in groups above ``part_size``, spread over several parts.
+    """Add ``part`` and ``parts``: 0 of 1, except in groups of more than ``part_size`` rows,
+    which are spread over several parts so that no task has to hold one of them whole.
 
     A row's part depends only on its ``element`` columns, which should identify it within
     the group. ``sizes`` (keys and ``group_rows``) may be given where it is cheaper to get
@@ -80,9 +81,7 @@ def split_large_groups(
         "large-groups",
     )
     if large.isEmpty():
-        return rows.withColumn("part", F.lit(0))
-    placed = join_null_safe(rows, large, keys, "left")
-    part = F.when(F.col("parts").isNull(), F.lit(0)).otherwise(
-        F.pmod(F.xxhash64(*element), F.col("parts")).cast("int")
-    )
-    return placed.withColumn("part", part).drop("parts")
+        return rows.withColumns({"part": F.lit(0), "parts": F.lit(1)})
+    parts = F.coalesce("parts", F.lit(1))
+    part = F.when(parts == 1, F.lit(0)).otherwise(F.pmod(F.xxhash64(*element), parts).cast("int"))
+    return join_null_safe(rows, large, keys, "left").withColumns({"part": part, "parts": parts})

@@ -57,17 +57,17 @@ def aircraft_seat_document(
     """Each aircraft having seats, with one array of seat numbers per fare class.
 
     ``aircraft_code`` identifies an aircraft, ``seat_no`` a seat of it. An aircraft with
-    more than ``part_size`` seats is continued in further documents, numbered by ``part``.
+    more than ``part_size`` seats takes several documents, ``part`` of ``parts``.
     """
     placed = split_large_groups(seats, ["aircraft_code"], ["seat_no", "fare_conditions"], part_size)
-    arrays = placed.groupBy("aircraft_code", "part").agg(
+    arrays = placed.groupBy("aircraft_code", "part", "parts").agg(
         *[
             values_where("seat_no", F.col("fare_conditions") == fare).alias(name)
             for name, fare in classes.items()
         ]
     )
     return aircraft.join(arrays, "aircraft_code").select(
-        "aircraft_code", "model", "range", "part", *classes
+        "aircraft_code", "model", "range", "part", "parts", *classes
     )
 
 
@@ -92,11 +92,21 @@ def flight_document(
 
     ``aircraft_documents`` is what ``aircraft_seat_document`` returns, preferably written
     and read back: joined as a plain table, a hot aircraft's flights can be split by
-    adaptive execution. Flights of an aircraft in several parts have as many documents.
+    adaptive execution. An aircraft in several parts is not repeated inside every one of
+    its flights: those have NULL seat arrays, and ``aircraft_parts`` tells how many aircraft
+    documents of that code hold them.
     """
+    whole = aircraft_documents.where(F.col("parts") == 1).drop("part")
+    by_reference = (
+        aircraft_documents.where(F.col("parts") > 1)
+        .select("aircraft_code", "model", "range", "parts")
+        .distinct()
+    )
     aircraft = F.struct("aircraft_code", "model", "range", *classes)
-    documents = aircraft_documents.select("aircraft_code", "part", aircraft.alias("aircraft"))
-    joined = flights.join(documents, "aircraft_code")
+    lookup = whole.unionByName(by_reference, allowMissingColumns=True).select(
+        "aircraft_code", F.col("parts").alias("aircraft_parts"), aircraft.alias("aircraft")
+    )
+    joined = flights.join(lookup, "aircraft_code")
     for role in ("departure_airport", "arrival_airport"):
         lookup = airports.select(
             F.col("airport_code").alias(role),
@@ -105,8 +115,8 @@ def flight_document(
         joined = joined.join(lookup, role)
     return joined.select(
         "flight_id",
-        "part",
         "flight_no",
+        "aircraft_parts",
         "aircraft",
         _airport("departure_airport"),
         _airport("arrival_airport"),
@@ -126,8 +136,8 @@ def booking_document(
     """Each booking with an array of its tickets' flights, boarded or not.
 
     ``book_ref`` identifies a booking, (``ticket_no``, ``flight_id``) an array element. A
-    booking with more than ``part_size`` elements is continued in further documents,
-    numbered by ``part``; their sizes come from the two key columns alone.
+    booking with more than ``part_size`` elements takes several documents, ``part`` of
+    ``parts``; its size comes from the two key columns alone.
     """
     sizes = (
         ticket_flights.groupBy("ticket_no")
@@ -142,11 +152,11 @@ def booking_document(
     placed = split_large_groups(
         elements, ["book_ref"], ["ticket_no", "flight_id"], part_size, sizes=sizes
     )
-    arrays = placed.groupBy("book_ref", "part").agg(
+    arrays = placed.groupBy("book_ref", "part", "parts").agg(
         F.sort_array(F.collect_list(F.struct(*TICKET_FIELDS))).alias("tickets")
     )
     return bookings.join(arrays, "book_ref").select(
-        "book_ref", "part", "book_date", "total_amount", "tickets"
+        "book_ref", "part", "parts", "book_date", "total_amount", "tickets"
     )
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemill.operators.groups import average, join_summary
+from tidemill.scratch import write_table
 
 # The currencies reported by default.
 CURRENCIES = ("USD", "EUR", "RUB")
@@ -84,6 +85,17 @@ def _category_pairs(
     return pairs.join(averages, transaction)
 
 
+def _category_amounts(
+    logs: DataFrame, transactions: DataFrame, category: str, transaction: str, amount: str
+) -> DataFrame:
+    """Each distinct average amount in a category, with the transactions having it."""
+    return (
+        _category_pairs(logs, transactions, category, transaction, amount)
+        .groupBy("category_name", "avg_amount")
+        .agg(F.count(F.lit(1)).alias("pairs"))
+    )
+
+
 def category_values(
     logs: DataFrame,
     transactions: DataFrame,
@@ -93,11 +105,7 @@ def category_values(
     amount: str = "amount",
 ) -> DataFrame:
     """Distinct (category, transactions in it, average amount of one of them)."""
-    values = (
-        _category_pairs(logs, transactions, category, transaction, amount)
-        .groupBy("category_name", "avg_amount")
-        .agg(F.count(F.lit(1)).alias("pairs"))
-    )
+    values = write_table(_category_amounts(logs, transactions, category, transaction, amount), "values")
     counts = values.groupBy("category_name").agg(F.sum("pairs").alias("transactions_count"))
     return join_summary(values, counts, ["category_name"]).select(
         "category_name", "transactions_count", "avg_amount"
@@ -118,11 +126,7 @@ def category_rollup(
     ``category_rollup_exact`` for the plain total. Distinct counts are aggregates here, so
     a category holding most rows is still reduced in many tasks.
     """
-    values = (
-        _category_pairs(logs, transactions, category, transaction, amount)
-        .groupBy("category_name", "avg_amount")
-        .agg(F.count(F.lit(1)).alias("pairs"))
-    )
+    values = _category_amounts(logs, transactions, category, transaction, amount)
     return values.groupBy("category_name").agg(
         F.sum("pairs").alias("transactions_count"),
         F.sum("avg_amount").alias("total_amount"),
