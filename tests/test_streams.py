@@ -1,0 +1,111 @@
+"""Streams: drained once, restarted, replayed and split into good and bad rows."""
+
+from __future__ import annotations
+
+import datetime as dt
+from unittest.mock import MagicMock
+
+import pytest
+from pyspark.sql import functions as F
+
+from tidemill import schemas
+from tidemill.functions.records import encode_rows, times_as_text
+from tidemill.plans import comments
+from tidemill.sources.streams import folder_source
+from tidemill.streaming.decode import decode_records, message_text
+from tidemill.streaming.runs import drain_to_memory, drain_to_text, start_batches
+from tidemill.streaming.sinks import checked_batches, folder_batches
+
+SCHEMA = schemas.layout(id="integer", at="timestamp", name="string")
+
+
+def tuples(df):
+    return sorted((tuple(row) for row in df.collect()), key=repr)
+
+
+@pytest.fixture
+def topic(spark, folder):
+    """A folder of records, two files, with a NULL payload and a bad one."""
+    path = folder + "-topic"
+    rows = spark.createDataFrame(
+        [(n, dt.datetime(2024, 1, 1, 10, n), f"n{n}") for n in range(6)], SCHEMA
+    )
+    good = encode_rows(times_as_text(rows)).select(F.encode("value", "UTF-8").alias("value"))
+    bad = spark.createDataFrame([(None,), (bytearray(b"no json"),)], "value binary")
+    good.union(bad).coalesce(2).write.parquet(path)
+    return path
+
+
+def stream(spark, path, **settings):
+    return folder_source(spark, path, "parquet", schema=spark.read.parquet(path).schema, **settings)
+
+
+def test_drain_to_text_and_restart(spark, folder, topic):
+    def drain():
+        query = drain_to_text(message_text(stream(spark, topic)), folder, folder + "-checkpoint")
+        query.awaitTermination()
+        return spark.read.text(folder)
+
+    assert drain().count() == 7
+    assert drain().count() == 7
+    more = spark.createDataFrame([(bytearray(b'{"id":9}'),)], "value binary")
+    more.write.mode("append").parquet(topic)
+    assert drain().count() == 8
+    assert drain().where("value = 'no json'").count() == 1
+
+
+def test_drain_to_memory_is_read_back_by_sql(spark, topic):
+    drain_to_memory(message_text(stream(spark, topic)), "processed_messages").awaitTermination()
+    assert spark.sql("SELECT value FROM processed_messages").count() == 7
+
+
+def test_batch_and_stream_decode_alike(spark, folder, topic):
+    decoded = decode_records(stream(spark, topic), SCHEMA)
+    start_batches(decoded, folder_batches(folder), folder + "-c", available_now=True).awaitTermination()
+    batch = decode_records(spark.read.parquet(topic), SCHEMA)
+    assert tuples(spark.read.parquet(folder).drop("batch_id")) == tuples(batch)
+
+
+def test_replayed_batches_change_nothing(spark, folder, topic):
+    write = folder_batches(folder)
+    seen = []
+
+    def write_twice(batch, batch_id):
+        seen.append(batch_id)
+        write(batch, batch_id)
+        write(batch, batch_id)
+
+    for _ in range(2):
+        records = stream(spark, topic, max_files=1)
+        comments.stream_comments(records, write_twice, folder + "-c", SCHEMA, available_now=True).awaitTermination()
+    assert seen == [0, 1]
+    assert spark.read.parquet(folder).count() == 8
+
+
+def test_bad_rows_go_apart(spark, folder, topic):
+    write = checked_batches(folder_batches(folder + "/good"), folder_batches(folder + "/bad"), ["id"])
+    comments.stream_comments(
+        stream(spark, topic), write, folder + "-c", SCHEMA, available_now=True
+    ).awaitTermination()
+    assert [row[0] for row in tuples(spark.read.parquet(folder + "/good").select("id"))] == list(range(6))
+    assert tuples(spark.read.parquet(folder + "/bad").select("id", "reject_reason")) == [(None, "id")] * 2
+
+
+def test_interval_run_keeps_going_until_stopped(spark, folder, topic):
+    query = comments.stream_comments(
+        stream(spark, topic), folder_batches(folder), folder + "-c", SCHEMA, interval="1 second"
+    )
+    try:
+        query.processAllAvailable()
+        assert query.isActive and spark.read.parquet(folder).count() == 8
+    finally:
+        query.stop()
+
+
+def test_interval_defaults_to_ten_seconds():
+    decoded = MagicMock()
+    start_batches(decoded, print, "checkpoint")
+    writer = decoded.writeStream.foreachBatch
+    writer.assert_called_once_with(print)
+    writer().option.assert_called_once_with("checkpointLocation", "checkpoint")
+    writer().option().trigger.assert_called_once_with(processingTime="10 seconds")

@@ -60,6 +60,10 @@ def date_or_text(column: Column) -> Column:
 def number_or_zero(column: Column, data_type: str, *, strict: bool = True) -> Column:
     """NULL and empty text become 0. Malformed text fails if ``strict``, else becomes 0."""
     text = column.cast("string")
-    number = text.cast(data_type) if strict else text.try_cast(data_type)
     zero = F.lit(0).cast(data_type)
-    return F.when(text.isNull() | (text == ""), zero).otherwise(F.coalesce(number, zero))
+    malformed = (
+        F.raise_error(F.concat(F.lit("not a number: "), text)).cast(data_type) if strict else zero
+    )
+    return F.when(text.isNull() | (text == ""), zero).otherwise(
+        F.coalesce(text.try_cast(data_type), malformed)
+    )

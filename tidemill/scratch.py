@@ -14,6 +14,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _local_folders: dict[str, str] = {}
+_handed_out: dict[str, list[str]] = {}
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -31,7 +32,9 @@ def shared_folder(spark: SparkSession) -> str:
 
 def new_path(spark: SparkSession, name: str) -> str:
     """A path below the shared folder that nothing has written to."""
-    return f"{shared_folder(spark)}/tidemill/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/tidemill/{name}-{uuid.uuid4().hex}"
+    _handed_out.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
 
 
 def write_table(df: DataFrame, name: str) -> DataFrame:
@@ -39,3 +42,17 @@ def write_table(df: DataFrame, name: str) -> DataFrame:
     path = new_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def release(spark: SparkSession) -> int:
+    """Delete what this application has written below the shared folder; return how many paths.
+
+    For the end of a job: tables returned earlier read these files.
+    """
+    context = spark.sparkContext
+    paths = _handed_out.pop(context.applicationId, [])
+    deleted = 0
+    for text in paths:
+        path = context._jvm.org.apache.hadoop.fs.Path(text)
+        deleted += path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+    return deleted
