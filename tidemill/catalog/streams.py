@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemill.catalog.feeds import EVENT
-from tidemill.catalog.tables import table
+from tidemill.catalog.tables import LAYOUTS, table
 from tidemill.functions.records import encode_rows, times_as_text
 from tidemill.plans import comments
 from tidemill.scratch import new_path
@@ -18,7 +18,7 @@ from tidemill.streaming.sinks import checked_batches, folder_batches
 
 
 def drain_messages(spark: SparkSession, folder: str) -> DataFrame:
-    schema = table(spark, folder, "events").schema
+    schema = LAYOUTS["events"]
     # As a pattern the table may be one file as well as a folder of files.
     records = folder_source(spark, f"{folder}/events.parque[t]", "parquet", schema=schema).select(
         F.encode("props", "UTF-8").alias("value")

@@ -5,9 +5,65 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemill.schemas import layout
+
+
+LAYOUTS = {
+    "region": layout(r_regionkey="integer", r_name="string"),
+    "nation": layout(n_nationkey="integer", n_name="string", n_regionkey="integer"),
+    "customer": layout(
+        c_custkey="long",
+        c_name="string",
+        c_nationkey="integer",
+        c_acctbal="double",
+        c_mktsegment="string",
+    ),
+    "supplier": layout(s_suppkey="long", s_name="string", s_nationkey="integer", s_acctbal="double"),
+    "part": layout(
+        p_partkey="long",
+        p_name="string",
+        p_brand="string",
+        p_type="string",
+        p_size="integer",
+        p_retailprice="double",
+    ),
+    "orders": layout(
+        o_orderkey="long",
+        o_custkey="long",
+        o_orderstatus="string",
+        o_totalprice="double",
+        o_orderdate="timestamp_ntz",
+        o_orderpriority="string",
+    ),
+    "lineitem": layout(
+        l_orderkey="long",
+        l_partkey="long",
+        l_suppkey="long",
+        l_linenumber="integer",
+        l_quantity="double",
+        l_extendedprice="double",
+        l_discount="double",
+        l_tax="double",
+        l_returnflag="string",
+        l_linestatus="string",
+        l_shipdate="timestamp_ntz",
+    ),
+    "events": layout(
+        event_id="long",
+        ts="timestamp_ntz",
+        user_id="long",
+        event_type="string",
+        value="double",
+        props="string",
+    ),
+    "documents": layout(doc_id="long", text="string", lang="string", source="string", n_chars="long"),
+    "conversations": layout(conv_id="long", turn="long", role="string", text="string"),
+}
+
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    """A test table, its layout given so that no job is needed to infer it."""
+    return spark.read.schema(LAYOUTS[name]).parquet(f"{folder}/{name}.parquet")
 
 
 def money(name: str) -> Column:

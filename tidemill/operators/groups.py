@@ -31,31 +31,37 @@ def keep_latest(df: DataFrame, keys: Sequence[str], order: Sequence[str] = ()) -
     return df.groupBy(*keys).agg(latest).select(*keys, "latest.*").select(*df.columns)
 
 
-def join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
-    """Join on ``keys`` with NULL equal to NULL; the key columns of ``left`` are kept."""
+def join_splittable(
+    left: DataFrame,
+    right: DataFrame,
+    keys: Sequence[str],
+    how: str = "inner",
+    *,
+    null_safe: bool = False,
+) -> DataFrame:
+    """Join on ``keys`` in a form that holds when one key has a large share of ``left``.
+
+    Adaptive execution splits a skewed key only if both sides of the join come straight from
+    a shuffle. Where one side is aggregated by the join keys Spark would reuse that
+    partitioning; with the keys' hash as a further key it shuffles the (reduced) side again.
+    The key columns are those of ``left``; ``null_safe`` lets NULL match NULL.
+    """
     renamed = right.withColumnsRenamed({name: f"right_{name}" for name in keys})
-    condition = F.lit(True)
+    condition = F.xxhash64(*[left[name] for name in keys]) == F.xxhash64(
+        *[renamed[f"right_{name}"] for name in keys]
+    )
     for name in keys:
-        condition = condition & left[name].eqNullSafe(renamed[f"right_{name}"])
+        ours, theirs = left[name], renamed[f"right_{name}"]
+        condition = condition & (ours.eqNullSafe(theirs) if null_safe else ours == theirs)
     return left.join(renamed, condition, how).drop(*[f"right_{name}" for name in keys])
 
 
-def join_summary(rows: DataFrame, summary: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Attach a per-key summary to its rows.
-
-    The summary is written first. That lets Spark see its size before choosing a broadcast,
-    and otherwise lets adaptive execution split the rows of a hot key, which it cannot do
-    when one side of the join is an aggregate.
-    """
-    return join_null_safe(rows, write_table(summary, "summary"), keys)
-
-
 def partition_average(
     df: DataFrame, partition_by: Sequence[str], value: str, name: str
 ) -> DataFrame:
     """Average of ``value`` over each partition on every row, without a window."""
     summary = df.groupBy(*partition_by).agg(average(value).alias(name))
-    return join_summary(df, summary, partition_by)
+    return join_splittable(df, summary, partition_by, null_safe=True)
 
 
 def split_large_groups(
@@ -84,4 +90,4 @@ def split_large_groups(
         return rows.withColumns({"part": F.lit(0), "parts": F.lit(1)})
     parts = F.coalesce("parts", F.lit(1))
     part = F.when(parts == 1, F.lit(0)).otherwise(F.pmod(F.xxhash64(*element), parts).cast("int"))
-    return join_null_safe(rows, large, keys, "left").withColumns({"part": part, "parts": parts})
+    return join_splittable(rows, large, keys, "left", null_safe=True).withColumns({"part": part, "parts": parts})

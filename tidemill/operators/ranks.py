@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemill.operators.groups import join_summary
+from tidemill.operators.groups import join_splittable
 from tidemill.scratch import write_table
 
 
@@ -24,7 +24,8 @@ def dense_ranks(
     A plain window sorts a whole partition in one task. Here the distinct values are range
     partitioned on (partition, value), so a large partition covers several slices in order;
     a rank is the position inside the slice plus the values in the slices before it.
-    The slices are written once, as their limits come from a sample.
+    The slices are written once, as their limits come from a sample; so are the few offsets,
+    which lets Spark see that they are small enough to broadcast.
     """
     values = df.select(*partition_by, order_by).distinct()
     sliced = write_table(
@@ -45,7 +46,9 @@ def dense_ranks(
     inside = Window.partitionBy(*partition_by, "slice").orderBy(order_by)
     positioned = sliced.withColumn("position", F.row_number().over(inside))
     rank = F.col("values_before") + F.col("position")
-    return join_summary(positioned, slices, [*partition_by, "slice"]).select(
+    offsets = write_table(slices, "slice-offsets")
+    ranked = join_splittable(positioned, offsets, [*partition_by, "slice"], null_safe=True)
+    return ranked.select(
         *partition_by,
         order_by,
         rank.alias(ascending),

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemill.functions.labels import iso_day_label, start_of_day
-from tidemill.operators.groups import average
+from tidemill.operators.groups import average, join_splittable
 
 
 def payment_status_summary(
@@ -60,28 +60,29 @@ def product_sales(
 ) -> DataFrame:
     """Quantity, average price and value sold of each product, over items with an order.
 
-    Items are summed per (order, product) before the join, so an order with a large share
-    of all items has at most one row per product in it.
+    Orders are reduced to one row per id before the join, items are summed right after it;
+    sums are multiplied only when nothing but (product, factor) is left.
     """
-    sums = items.groupBy(order, product).agg(
-        F.sum(quantity).alias("quantity"),
-        F.sum(price).alias("price"),
-        F.count(price).alias("prices"),
-        F.sum(F.col(price) * F.col(quantity)).alias("value"),
-    )
-    rows = F.col("order_rows")
-    return (
-        sums.join(_order_rows(orders, order), order)
-        .groupBy(product)
+    sold = items.where(F.col(order).isNotNull()).select(order, product, quantity, price)
+    sums = (
+        join_splittable(sold, _order_rows(orders, order), [order])
+        .groupBy(product, "order_rows")
         .agg(
-            F.sum(F.col("quantity") * rows).alias("total_quantity"),
-            (
-                F.sum(F.col("price") * rows).cast("double")
-                / F.nullif(F.sum(F.col("prices") * rows), F.lit(0))
-            ).alias("avg_product_price"),
-            F.sum(F.col("value") * rows).alias("total_product_price"),
+            F.sum(quantity).alias("quantity"),
+            F.sum(price).alias("price"),
+            F.count(price).alias("prices"),
+            F.sum(F.col(price) * F.col(quantity)).alias("value"),
         )
     )
+    rows = F.col("order_rows")
+    return sums.groupBy(product).agg(
+        F.sum(F.col("quantity") * rows).alias("total_quantity"),
+        (
+            F.sum(F.col("price") * rows).cast("double")
+            / F.nullif(F.sum(F.col("prices") * rows), F.lit(0))
+        ).alias("avg_product_price"),
+        F.sum(F.col("value") * rows).alias("total_product_price"),
+    )
 
 
 def daily_orders(

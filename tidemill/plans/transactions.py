@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemill.operators.groups import average, join_summary
+from tidemill.operators.groups import average, join_splittable
 from tidemill.scratch import write_table
 
 # The currencies reported by default.
@@ -82,7 +82,7 @@ def _category_pairs(
         .select(F.col(category).alias("category_name"), transaction)
         .distinct()
     )
-    return pairs.join(averages, transaction)
+    return join_splittable(pairs, averages, [transaction])
 
 
 def _category_amounts(
@@ -104,10 +104,15 @@ def category_values(
     transaction: str = "transaction_id",
     amount: str = "amount",
 ) -> DataFrame:
-    """Distinct (category, transactions in it, average amount of one of them)."""
+    """Distinct (category, transactions in it, average amount of one of them).
+
+    The amounts are written because they are read twice, and their counts so that Spark can
+    see whether these are small enough to broadcast.
+    """
     values = write_table(_category_amounts(logs, transactions, category, transaction, amount), "values")
     counts = values.groupBy("category_name").agg(F.sum("pairs").alias("transactions_count"))
-    return join_summary(values, counts, ["category_name"]).select(
+    counted = join_splittable(values, write_table(counts, "counts"), ["category_name"], null_safe=True)
+    return counted.select(
         "category_name", "transactions_count", "avg_amount"
     )
 
