@@ -6,15 +6,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemill.catalog.tables import money, table
+from tidemill.functions.casts import TIME_PATTERN
 from tidemill.functions.labels import duration_text
-from tidemill.functions.records import times_as_text
 from tidemill.plans import documents
 from tidemill.scratch import new_path, write_table
 from tidemill.sinks.files import write_documents
 from tidemill.sources.files import read_json_doc
 
 FLAG_CLASSES = {"economy_seats": "A", "business_seats": "N", "comfort_seats": "R"}
-KEEP_NULLS = {"ignoreNullFields": "false"}
+JSON_TEXT = {"ignoreNullFields": "false", "timestampNTZFormat": TIME_PATTERN}
 
 
 def _seats(spark: SparkSession, folder: str, code: str) -> DataFrame:
@@ -127,13 +127,13 @@ def flight_document(spark: SparkSession, folder: str) -> DataFrame:
         )
     )
     built = documents.flight_document(
-        times_as_text(_flights(spark, folder)),
+        _flights(spark, folder),
         documents.written_documents(_part_documents(spark, folder)),
         airports,
         classes=FLAG_CLASSES,
     )
     objects = ("aircraft", "departure_airport", "arrival_airport", "flight_time")
-    return built.withColumns({name: F.to_json(name, KEEP_NULLS) for name in objects})
+    return built.withColumns({name: F.to_json(name, JSON_TEXT) for name in objects})
 
 
 def _bookings(spark: SparkSession, folder: str) -> DataFrame:
@@ -163,7 +163,7 @@ def _bookings(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def booking_document(spark: SparkSession, folder: str) -> DataFrame:
-    return _bookings(spark, folder).withColumn("tickets", F.to_json("tickets", KEEP_NULLS))
+    return _bookings(spark, folder).withColumn("tickets", F.to_json("tickets", JSON_TEXT))
 
 
 def document_collection(spark: SparkSession, folder: str) -> DataFrame:

@@ -12,8 +12,8 @@ from tidemill.plans import comments
 from tidemill.scratch import new_path
 from tidemill.sinks.files import write_text
 from tidemill.sources.streams import folder_source
-from tidemill.streaming.decode import message_text
-from tidemill.streaming.runs import drain_to_text
+from tidemill.streaming.decode import decode_records, message_text
+from tidemill.streaming.runs import drain_to_text, start_batches
 from tidemill.streaming.sinks import checked_batches, folder_batches
 
 
@@ -57,10 +57,50 @@ def stream_rejects(spark: SparkSession, folder: str) -> DataFrame:
     return bad.where(F.col("event_type") == "error").select("event_id", "user_id", "reject_reason")
 
 
+def stream_at_interval(spark: SparkSession, folder: str) -> DataFrame:
+    """Micro-batches started by the clock, stopped once all records are in."""
+    topic, target = new_path(spark, "topic"), new_path(spark, "batches")
+    write_text(encode_rows(times_as_text(table(spark, folder, "events"))), topic)
+    query = start_batches(
+        decode_records(folder_source(spark, topic, "text"), EVENT),
+        folder_batches(target),
+        new_path(spark, "checkpoint"),
+        interval="1 second",
+    )
+    try:
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    return spark.read.parquet(target).select("event_id", "user_id", "value")
+
+
+def stream_restarted(spark: SparkSession, folder: str) -> DataFrame:
+    """Two runs on one checkpoint, each batch written twice: every record is there once."""
+    topic, target, checkpoint = (new_path(spark, name) for name in ("topic", "batches", "checkpoint"))
+    write_text(encode_rows(times_as_text(table(spark, folder, "events"))), topic)
+    write = folder_batches(target)
+
+    def write_twice(batch: DataFrame, batch_id: int) -> None:
+        write(batch, batch_id)
+        write(batch, batch_id)
+
+    for _ in range(2):
+        comments.stream_comments(
+            folder_source(spark, topic, "text", max_files=1000),
+            write_twice,
+            checkpoint,
+            EVENT,
+            available_now=True,
+        ).awaitTermination()
+    return spark.read.parquet(target).select("event_id", "user_id", "value")
+
+
 QUERIES = {
     "drain_messages": drain_messages,
     "stream_comments": stream_comments,
     "stream_rejects": stream_rejects,
+    "stream_at_interval": stream_at_interval,
+    "stream_restarted": stream_restarted,
 }
 
 SQL = {
@@ -71,4 +111,6 @@ SQL = {
     "stream_rejects": """
         SELECT event_id, user_id, 'value' AS reject_reason FROM events WHERE event_type = 'error'
     """,
+    "stream_at_interval": "SELECT event_id, user_id, value FROM events",
+    "stream_restarted": "SELECT event_id, user_id, value FROM events",
 }

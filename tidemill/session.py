@@ -38,7 +38,7 @@ def build_session(
 def shuffle_partitions_for(shuffle_bytes: int, cores: int) -> int:
     """Partition count for a shuffle of ``shuffle_bytes``; adaptive execution merges small ones.
 
-    100 TB gives about 800,000 partitions of 128 MB; a job that prunes columns first
+    100 TB gives about 750,000 partitions of 128 MB; a job that prunes columns first
     shuffles, and so needs, far less. Never fewer than the cores of the cluster.
     """
     return max(cores, -(-shuffle_bytes // SHUFFLE_PARTITION_BYTES))
