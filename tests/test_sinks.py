@@ -113,6 +113,18 @@ def test_keyed_replacement(spark, folder):
     assert tuples(keyed.read_latest(spark, folder + "-new", ["k"])) == [("a", 10), ("b", 1), ("c", 2)]
 
 
+def test_switching_to_a_new_version(spark, folder):
+    schema = "k string, n int"
+    tables.replace_table(spark.createDataFrame([("a", 1)], schema), "served", location=folder + "-v1")
+    keyed.append_load(spark.createDataFrame([("a", 1)], schema), folder, 1)
+    keyed.append_load(spark.createDataFrame([("a", 2), ("b", 2)], schema), folder, 2)
+    keyed.compact(spark, folder, folder + "-v2", ["k"], 2)
+    assert tuples(spark.table("served")) == [("a", 1)]
+    tables.switch_location(spark, "served", folder + "-v2/load_id=2")
+    assert tuples(spark.table("served")) == [("a", 2), ("b", 2)]
+    spark.sql("DROP TABLE served")
+
+
 def test_landing_keeps_one_row_per_key_by_day(spark, folder):
     raw = spark.createDataFrame(
         [

@@ -102,11 +102,14 @@ def csv_to_parquet_clean(spark: SparkSession, folder: str) -> DataFrame:
 def load_transactions(spark: SparkSession, folder: str) -> DataFrame:
     path = _delimited_file(tables.transactions(spark, folder), ",", header=False)
     name = f"transactions_{uuid.uuid4().hex}"
-    loaded = loads.load_transactions(
-        spark, path, name, schema=TRANSACTION_FILE, location=new_path(spark, "transactions")
-    )
-    spark.sql(f"DROP TABLE {name}")
-    return _without_zone(loaded)
+    try:
+        return _without_zone(
+            loads.load_transactions(
+                spark, path, name, schema=TRANSACTION_FILE, location=new_path(spark, "transactions")
+            )
+        )
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
 
 
 def delimited_logs(spark: SparkSession, folder: str) -> DataFrame:
@@ -123,10 +126,12 @@ def csv_with_names(spark: SparkSession, folder: str) -> DataFrame:
 def load_orders(spark: SparkSession, folder: str) -> DataFrame:
     path = _delimited_file(tables.orders(spark, folder), ";", header=True)
     name = f"orders_{uuid.uuid4().hex}"
-    replace_table(spark.createDataFrame([], ORDER_FILE), name, location=new_path(spark, "orders"))
-    loaded = loads.load_orders(spark, path, name, schema=ORDER_FILE, sep=";")
-    spark.sql(f"DROP TABLE {name}")
-    return as_double(_without_zone(loaded), "total_amount")
+    try:
+        replace_table(spark.createDataFrame([], ORDER_FILE), name, location=new_path(spark, "orders"))
+        loaded = loads.load_orders(spark, path, name, schema=ORDER_FILE, sep=";")
+        return as_double(_without_zone(loaded), "total_amount")
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
 
 
 def headerless_amounts(spark: SparkSession, folder: str) -> DataFrame:

@@ -33,5 +33,8 @@ def read_latest(spark: SparkSession, root: str, keys: Sequence[str]) -> DataFram
 
 
 def compact(spark: SparkSession, root: str, new_root: str, keys: Sequence[str], load_id: int) -> None:
-    """Write the merged table to ``new_root`` as one load; readers are then pointed there."""
+    """Write the merged table to ``new_root`` as one load.
+
+    Readers are pointed there afterwards, for a catalog table by ``tables.switch_location``.
+    """
     append_load(read_latest(spark, root, keys), new_root, load_id)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -22,6 +22,17 @@ def replace_table(df: DataFrame, table: str, *, location: str | None = None) ->
     writer.saveAsTable(table)
 
 
+def switch_location(spark: SparkSession, table: str, location: str) -> None:
+    """Let readers of ``table`` see the files at ``location`` from now on.
+
+    A new version is written beside the old one and takes its place in one step, so a path
+    being read is never overwritten.
+    """
+    escaped = location.replace("'", "\\'")
+    spark.sql(f"ALTER TABLE {table} SET LOCATION '{escaped}'")
+    spark.catalog.refreshTable(table)
+
+
 def jdbc_sink_options(
     connection: Mapping[str, str], table: str, *, connections: int = 8, batch_size: int = 10_000
 ) -> dict[str, str]:
