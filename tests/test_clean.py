@@ -200,6 +200,16 @@ def test_duration_text(spark):
     ]
 
 
+def test_interval_text(spark):
+    df = spark.sql("SELECT * FROM VALUES (INTERVAL '0 02:10:00' DAY TO SECOND), (INTERVAL '1 01:01:01' DAY TO SECOND), (-INTERVAL '0 00:05:59' DAY TO SECOND), (NULL) t(i)")
+    assert [row[0] for row in df.select(labels.interval_text(F.col("i"))).collect()] == [
+        "02:10:00",
+        "25:01:01",
+        "-00:05:59",
+        None,
+    ]
+
+
 def test_records_leave_nulls_out_or_keep_them(spark):
     df = spark.createDataFrame([("first", None)], "msg string, note string")
     assert records.encode_rows(df).first().value == '{"msg":"first"}'

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemill.catalog.tables import money, table
 from tidemill.functions.casts import TIME_PATTERN
-from tidemill.functions.labels import duration_text
+from tidemill.functions.labels import interval_text
 from tidemill.plans import documents
 from tidemill.scratch import new_path, write_table
 from tidemill.sinks.files import write_documents
@@ -42,14 +42,20 @@ def aircraft_seat_document(spark: SparkSession, folder: str) -> DataFrame:
     return built.withColumns({name: F.array_join(name, ",") for name in FLAG_CLASSES})
 
 
-def _part_documents(spark: SparkSession, folder: str) -> DataFrame:
-    parts = table(spark, folder, "part").select(
+def _parts(spark: SparkSession, folder: str) -> DataFrame:
+    return table(spark, folder, "part").select(
         F.col("p_partkey").alias("aircraft_code"),
         F.col("p_name").alias("model"),
         F.col("p_size").alias("range"),
     )
-    return documents.aircraft_seat_document(
-        parts, _seats(spark, folder, "l_partkey"), classes=FLAG_CLASSES
+
+
+def _airports(spark: SparkSession, folder: str) -> DataFrame:
+    nations, regions = table(spark, folder, "nation"), table(spark, folder, "region")
+    return nations.join(regions, nations.n_regionkey == regions.r_regionkey).select(
+        F.col("n_nationkey").alias("airport_code"),
+        F.col("n_name").alias("coordinates"),
+        F.col("r_name").alias("timezone"),
     )
 
 
@@ -85,10 +91,16 @@ def _flights(spark: SparkSession, folder: str) -> DataFrame:
         F.when(F.col("l_linestatus") == "F", F.col("l_shipdate")).alias("actual_departure"),
         F.col("l_quantity").cast("int").alias("hours"),
     )
-    day, hour = F.expr("INTERVAL '1' DAY"), F.expr("make_dt_interval(0, hours)")
+    scheduled, actual = F.expr("INTERVAL '1' DAY"), F.expr("make_dt_interval(0, hours)")
     return (
         lines.join(orders, "l_orderkey")
         .join(suppliers, "l_suppkey")
+        .withColumns(
+            {
+                "scheduled_arrival": F.col("scheduled_departure") + scheduled,
+                "actual_arrival": F.col("actual_departure") + actual,
+            }
+        )
         .select(
             F.col("l_orderkey").alias("flight_id"),
             "flight_no",
@@ -102,73 +114,67 @@ def _flights(spark: SparkSession, folder: str) -> DataFrame:
             "arrival_city",
             "scheduled_departure",
             F.col("scheduled_departure").alias("scheduled_departure_local"),
-            (F.col("scheduled_departure") + day).alias("scheduled_arrival"),
-            (F.col("scheduled_departure") + day).alias("scheduled_arrival_local"),
-            duration_text(F.lit(24 * 3600)).alias("scheduled_duration"),
+            "scheduled_arrival",
+            F.col("scheduled_arrival").alias("scheduled_arrival_local"),
+            interval_text(F.col("scheduled_arrival") - F.col("scheduled_departure")).alias("scheduled_duration"),
             "actual_departure",
             F.col("actual_departure").alias("actual_departure_local"),
-            (F.col("actual_departure") + hour).alias("actual_arrival"),
-            (F.col("actual_departure") + hour).alias("actual_arrival_local"),
-            F.when(
-                F.col("actual_departure").isNotNull(), duration_text(F.col("hours") * 3600)
-            ).alias("actual_duration"),
+            "actual_arrival",
+            F.col("actual_arrival").alias("actual_arrival_local"),
+            interval_text(F.col("actual_arrival") - F.col("actual_departure")).alias("actual_duration"),
         )
     )
 
 
 def flight_document(spark: SparkSession, folder: str) -> DataFrame:
-    airports = (
-        table(spark, folder, "nation")
-        .join(table(spark, folder, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
-        .select(
-            F.col("n_nationkey").alias("airport_code"),
-            F.col("n_name").alias("coordinates"),
-            F.col("r_name").alias("timezone"),
-        )
+    aircraft = documents.aircraft_seat_document(
+        _parts(spark, folder), _seats(spark, folder, "l_partkey"), classes=FLAG_CLASSES
     )
     built = documents.flight_document(
         _flights(spark, folder),
-        documents.written_documents(_part_documents(spark, folder)),
-        airports,
+        documents.written_documents(aircraft),
+        _airports(spark, folder),
         classes=FLAG_CLASSES,
     )
     objects = ("aircraft", "departure_airport", "arrival_airport", "flight_time")
     return built.withColumns({name: F.to_json(name, JSON_TEXT) for name in objects})
 
 
-def _bookings(spark: SparkSession, folder: str) -> DataFrame:
+def _booking_tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     """Customers as bookings of their orders; returned lines are the boarded ones."""
     lines = table(spark, folder, "lineitem")
     key = (F.col("l_orderkey").alias("ticket_no"), F.col("l_linenumber").alias("flight_id"))
-    ticket_flights = lines.groupBy(*key).agg(
-        F.max("l_returnflag").alias("fare_conditions"),
-        F.max(money("l_extendedprice")).cast("string").alias("amount"),
-    )
-    boarding_passes = (
-        lines.where(F.col("l_returnflag") == "R").groupBy(*key).agg(F.max("l_suppkey").alias("seat_no"))
-    )
-    bookings = table(spark, folder, "customer").select(
-        F.col("c_custkey").alias("book_ref"),
-        F.col("c_mktsegment").alias("book_date"),
-        F.col("c_acctbal").alias("total_amount"),
-    )
-    tickets = table(spark, folder, "orders").select(
-        F.col("o_orderkey").alias("ticket_no"),
-        F.col("o_custkey").alias("book_ref"),
-        F.col("o_custkey").alias("passenger_id"),
-        F.col("o_orderpriority").alias("passenger_name"),
-        F.col("o_orderstatus").alias("contact_data"),
-    )
-    return documents.booking_document(bookings, tickets, ticket_flights, boarding_passes)
+    return {
+        "bookings": table(spark, folder, "customer").select(
+            F.col("c_custkey").alias("book_ref"),
+            F.col("c_mktsegment").alias("book_date"),
+            F.col("c_acctbal").alias("total_amount"),
+        ),
+        "tickets": table(spark, folder, "orders").select(
+            F.col("o_orderkey").alias("ticket_no"),
+            F.col("o_custkey").alias("book_ref"),
+            F.col("o_custkey").alias("passenger_id"),
+            F.col("o_orderpriority").alias("passenger_name"),
+            F.col("o_orderstatus").alias("contact_data"),
+        ),
+        "ticket_flights": lines.groupBy(*key).agg(
+            F.max("l_returnflag").alias("fare_conditions"),
+            F.max(money("l_extendedprice")).cast("string").alias("amount"),
+        ),
+        "boarding_passes": lines.where(F.col("l_returnflag") == "R")
+        .groupBy(*key)
+        .agg(F.max("l_suppkey").alias("seat_no")),
+    }
 
 
 def booking_document(spark: SparkSession, folder: str) -> DataFrame:
-    return _bookings(spark, folder).withColumn("tickets", F.to_json("tickets", JSON_TEXT))
+    built = documents.booking_document(**_booking_tables(spark, folder))
+    return built.withColumn("tickets", F.to_json("tickets", JSON_TEXT))
 
 
 def document_collection(spark: SparkSession, folder: str) -> DataFrame:
     """The bookings written as a collection, read back and unrolled to one row per element."""
-    built = _bookings(spark, folder)
+    built = documents.booking_document(**_booking_tables(spark, folder))
     path = new_path(spark, "bookings")
     write_documents(built, path)
     elements = read_json_doc(spark, path, schema=built.schema, one_per_line=True).select(
@@ -177,6 +183,30 @@ def document_collection(spark: SparkSession, folder: str) -> DataFrame:
     return elements.select("book_ref", "ticket.ticket_no", "ticket.flight_id", "ticket.amount", "ticket.seat_no")
 
 
+def document_collections(spark: SparkSession, folder: str) -> DataFrame:
+    """All three collections written as JSON; the key of every document read back."""
+    root = new_path(spark, "collections")
+    documents.write_collections(
+        {
+            "aircraft": _parts(spark, folder),
+            "seats": _seats(spark, folder, "l_partkey"),
+            "flights": _flights(spark, folder),
+            "airports": _airports(spark, folder),
+            **_booking_tables(spark, folder),
+        },
+        lambda built, name: write_documents(built, f"{root}/{name}"),
+        classes=FLAG_CLASSES,
+    )
+    keys = {"aircrafts": "aircraft_code", "flights": "flight_id", "bookings": "book_ref"}
+    found = [
+        read_json_doc(spark, f"{root}/{name}", schema=f"{key} bigint", one_per_line=True).select(
+            F.lit(name).alias("collection"), F.col(key).alias("document_key")
+        )
+        for name, key in keys.items()
+    ]
+    return found[0].union(found[1]).union(found[2])
+
+
 def json_documents(spark: SparkSession, folder: str) -> DataFrame:
     """Texts as nested documents of their lines, read back and unrolled to one row per line."""
     nested = table(spark, folder, "documents").select(
@@ -194,6 +224,7 @@ QUERIES = {
     "flight_document": flight_document,
     "booking_document": booking_document,
     "document_collection": document_collection,
+    "document_collections": document_collections,
     "json_documents": json_documents,
 }
 
@@ -292,6 +323,20 @@ SQL = {
         SELECT book_ref, ticket_no, flight_id, amount, seat_no
         FROM customer JOIN ({_TICKETS}) ON c_custkey = book_ref
     """,
+    "document_collections": """
+        SELECT 'aircrafts' AS collection, p_partkey AS document_key
+        FROM part WHERE p_partkey IN (SELECT l_partkey FROM lineitem)
+        UNION ALL
+        SELECT 'flights', l_orderkey
+        FROM lineitem
+        JOIN orders ON l_orderkey = o_orderkey
+        JOIN customer ON o_custkey = c_custkey
+        JOIN supplier ON l_suppkey = s_suppkey
+        JOIN part ON l_partkey = p_partkey
+        UNION ALL
+        SELECT DISTINCT 'bookings', c_custkey
+        FROM customer JOIN orders ON o_custkey = c_custkey JOIN lineitem ON l_orderkey = o_orderkey
+    """,
     "json_documents": """
         SELECT doc_id, lang, CAST(place - 1 AS INTEGER) AS line_no, line
         FROM (

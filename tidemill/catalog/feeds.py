@@ -269,6 +269,26 @@ def replace_aggregates(spark: SparkSession, folder: str) -> DataFrame:
     return as_double(read_latest(spark, root, ["order_id"]), "total_amount")
 
 
+def _migrated(spark: SparkSession, folder: str) -> tuple[str, str]:
+    """Both reports loaded, then loaded again as a repeated job would."""
+    days, categories = new_path(spark, "days"), new_path(spark, "categories")
+    for load_id in (1, 2):
+        serving.migrate_aggregates(
+            tables.logs(spark, folder), tables.transactions(spark, folder), days, categories, load_id
+        )
+    return days, categories
+
+
+def migrated_days(spark: SparkSession, folder: str) -> DataFrame:
+    days, _ = _migrated(spark, folder)
+    return as_double(read_latest(spark, days, ["transaction_date"]), "total_amount", "avg_amount")
+
+
+def migrated_categories(spark: SparkSession, folder: str) -> DataFrame:
+    _, categories = _migrated(spark, folder)
+    return as_double(read_latest(spark, categories, ["category_name"]), "total_amount", "avg_amount")
+
+
 def sorted_layout(spark: SparkSession, folder: str) -> DataFrame:
     path = new_path(spark, "sorted")
     write_sorted(
@@ -309,6 +329,8 @@ QUERIES = {
     "publish_status": publish_status,
     "json_field": json_field,
     "replace_aggregates": replace_aggregates,
+    "migrated_days": migrated_days,
+    "migrated_categories": migrated_categories,
     "sorted_layout": sorted_layout,
     "land_raw_comments": land_raw_comments,
 }
@@ -319,6 +341,12 @@ _ORDERS = """
     FROM orders
 """
 
+_NORMALIZED_CATEGORIES = f"""
+    SELECT category_name, CAST(transactions_count AS INTEGER) AS transactions_count, total_amount,
+           CAST(CAST(CAST(avg_amount AS VARCHAR) AS DECIMAL(14,2)) AS DOUBLE) AS avg_amount
+    FROM ({reports.SQL["category_rollup"]})
+"""
+
 SQL = {
     "csv_header_inferred": "SELECT conv_id, turn, role, text FROM conversations",
     "csv_to_parquet_clean": """
@@ -375,11 +403,7 @@ SQL = {
             FROM orders GROUP BY CAST(o_orderdate AS DATE)
         )
     """,
-    "normalize_categories": f"""
-        SELECT category_name, CAST(transactions_count AS INTEGER) AS transactions_count, total_amount,
-               CAST(CAST(CAST(avg_amount AS VARCHAR) AS DECIMAL(14,2)) AS DOUBLE) AS avg_amount
-        FROM ({reports.SQL["category_rollup"]})
-    """,
+    "normalize_categories": _NORMALIZED_CATEGORIES,
     "publish_json": """
         SELECT event_id, date_trunc('second', ts) AS ts, user_id, event_type, value, props FROM events
     """,
@@ -392,6 +416,13 @@ SQL = {
                o_orderstatus AS payment_status
         FROM orders
     """,
+    "migrated_days": f"""
+        SELECT transaction_date, CAST(transactions_count AS INTEGER) AS transactions_count,
+               total_amount,
+               CAST(CAST(CAST(avg_amount AS VARCHAR) AS DECIMAL(14,2)) AS DOUBLE) AS avg_amount
+        FROM ({reports.SQL["daily_transactions"]})
+    """,
+    "migrated_categories": _NORMALIZED_CATEGORIES,
     "sorted_layout": "SELECT * FROM lineitem",
     "land_raw_comments": "SELECT *, CAST(ts AS DATE) AS ts_day FROM events",
 }

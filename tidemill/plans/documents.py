@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -163,3 +163,30 @@ def booking_document(
 def written_documents(documents: DataFrame) -> DataFrame:
     """``documents`` as a table of known size, for joining into other documents."""
     return write_table(documents, "documents")
+
+
+def write_collections(
+    tables: Mapping[str, DataFrame],
+    write: Callable[[DataFrame, str], None],
+    *,
+    classes: Mapping[str, str] = SEAT_CLASSES,
+    part_size: int = PART_SIZE,
+) -> None:
+    """Build the three collections and give each, with its name, to ``write``.
+
+    ``tables``: ``aircraft``, ``seats``, ``flights``, ``airports``, ``bookings``, ``tickets``,
+    ``ticket_flights`` and ``boarding_passes``.
+    """
+    aircraft = written_documents(
+        aircraft_seat_document(tables["aircraft"], tables["seats"], classes=classes, part_size=part_size)
+    )
+    write(aircraft, "aircrafts")
+    write(flight_document(tables["flights"], aircraft, tables["airports"], classes=classes), "flights")
+    bookings = booking_document(
+        tables["bookings"],
+        tables["tickets"],
+        tables["ticket_flights"],
+        tables["boarding_passes"],
+        part_size=part_size,
+    )
+    write(bookings, "bookings")

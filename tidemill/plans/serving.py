@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemill.functions.casts import date_or_text, number_or_zero, parse_key_date
+from tidemill.plans.transactions import category_rollup, daily_transactions
 from tidemill.sinks.keyed import append_load
 
 # Types of the serving columns.
@@ -64,3 +65,15 @@ def replace_aggregates(results: DataFrame, root: str, load_id: int) -> None:
     Read the table with ``tidemill.sinks.keyed.read_latest``.
     """
     append_load(results, root, load_id)
+
+
+def migrate_aggregates(
+    logs: DataFrame, transactions: DataFrame, days_root: str, categories_root: str, load_id: int
+) -> None:
+    """Load the daily and the category report into their keyed serving tables."""
+    days = daily_transactions(transactions)
+    replace_aggregates(
+        normalize_results(days, key="transaction_date", key_type="date"), days_root, load_id
+    )
+    categories = category_rollup(logs, transactions)
+    replace_aggregates(normalize_results(categories, key="category_name"), categories_root, load_id)
