@@ -33,8 +33,15 @@ def cast(spark, data_type, *values):
 
 def test_casts_give_null_where_the_text_does_not_fit(spark):
     assert cast(spark, "integer", "7", "7.9", "1e3", "x", None, "99999999999") == [7, 7, 1000, None, None, None]
+    assert cast(spark, "integer", "-7.9", ".5", "5.", " 8 ", "12d", "0x1", "NaN", "") == [
+        -7, 0, 5, 8, None, None, None, None
+    ]
+    big = 2**62 + 1
+    assert cast(spark, "long", str(big), f"{big}.7", "1e3", "1e30", "12.0") == [big, big, 1000, None, 12]
     assert cast(spark, "float", "0.5", "x", None) == [0.5, None, None]
-    assert cast(spark, "boolean", "True", "false", "maybe") == [True, False, None]
+    assert cast(spark, "boolean", "True", " false ", "Y", "0", "maybe", "11", "", None) == [
+        True, False, True, False, None, None, None, None
+    ]
     assert cast(spark, "timestamp", "2022-09-12 10:18:52", "2022-09-12T10:18:52Z", "") == [
         dt.datetime(2022, 9, 12, 10, 18, 52),
         None,
@@ -69,6 +76,8 @@ def test_conform_by_name(spark):
     conformed = clean.conform_to_schema(df, schema)
     assert conformed.schema.names == ["score", "id", "note"]
     assert tuples(conformed) == [(3, "a", None), (None, "b", None)]
+    numbers = spark.createDataFrame([(2.0**40, True)], "score double, id boolean")
+    assert tuples(clean.conform_to_schema(numbers, schema)) == [(None, "true", None)]
 
 
 @pytest.fixture(scope="module")
@@ -117,6 +126,31 @@ def test_date_keys(spark):
     ]
 
 
+TIMES = [
+    "2024-01-05 10:11:12", "2024-02-29 00:00:00", "2023-02-29 00:00:00", "2024-13-01 00:00:00",
+    "2024-01-32 00:00:00", "2024-01-05 24:00:00", "2024-01-05 23:60:00", "2024-01-05 23:59:60",
+    "2024-1-5 10:11:12", "2024-01-05", "2024-01-05T10:11:12", "2024-01-05 10:11:12.5",
+    "2024-01-05 10:11:12Z", " 2024-01-05 10:11:12", "2024-01-05 10:11:12 ", "24-01-05 10:11:12",
+    "1969-12-31 23:59:59", "9999-12-31 23:59:59", "today", "", None,
+]
+
+
+def test_fast_time_parsing_agrees_with_the_pattern(spark):
+    df = one_column(spark, *TIMES)
+    slow = F.try_to_timestamp("x", F.lit(casts.TIME_PATTERN))
+    assert tuples(df.select(casts.parse_time(F.col("x")))) == tuples(df.select(slow))
+    for key_pattern in ("yyyy-M-d", "yyyy-M-d H:m:s"):
+        parsed = df.select("x", F.try_to_timestamp("x", F.lit(key_pattern)).cast("date").alias("slow"))
+        wrong = parsed.where("slow IS NOT NULL").where(
+            ~casts.parse_key_date(F.col("x")).eqNullSafe(F.col("slow"))
+        )
+        assert wrong.count() == 0
+    either = F.coalesce(
+        F.try_to_timestamp("x", F.lit("yyyy-M-d")), F.try_to_timestamp("x", F.lit("yyyy-M-d H:m:s"))
+    ).cast("date")
+    assert tuples(df.select(casts.parse_key_date(F.col("x")))) == tuples(df.select(either))
+
+
 def test_missing_numbers_are_zero_and_bad_ones_fail_or_are_zero(spark):
     df = one_column(spark, "12", "", None)
     zero = casts.number_or_zero(F.col("x"), "int")

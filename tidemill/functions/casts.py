@@ -4,34 +4,67 @@ from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType, DateType, IntegralType, TimestampNTZType, TimestampType
+from pyspark.sql.types import (
+    BooleanType,
+    DataType,
+    DateType,
+    IntegralType,
+    StringType,
+    TimestampNTZType,
+    TimestampType,
+)
 
 # Time patterns of the feeds.
 TIME_PATTERN = "yyyy-MM-dd HH:mm:ss"
 UTC_SUFFIX_PATTERN = "yyyy-MM-dd HH:mm:ss Z 'UTC'"
-KEY_DATE_PATTERN = "yyyy-M-d"
-KEY_TIME_PATTERN = "yyyy-M-d H:m:s"
 
+# The shapes of text worth parsing. A failed parse costs an exception, a failed match does
+# not; and a plain cast of text known to have the shape is faster than parsing by pattern.
+_TIME = r"^\d{4}-\d\d-\d\d \d\d:\d\d:\d\d$"
+_KEY_DATE = r"^\d{4}-\d\d?-\d\d?( \d\d?:\d\d?:\d\d?)?$"
+_WHOLE = r"^\s*[+-]?\d+\s*$"
+_BOOLEAN = r"(?i)^\s*(t|true|y|yes|1|f|false|n|no|0)\s*$"
+_NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
 
-def cast_to(column: Column, data_type: DataType, time_pattern: str = TIME_PATTERN) -> Column:
-    """Text (or any) column as ``data_type``; NULL where the value does not fit.
+# Doubles hold every whole number up to here.
+_EXACT_DOUBLE = 2**53
 
-    Whole-number targets accept decimal spellings and truncate them.
+
+def cast_to(
+    column: Column,
+    data_type: DataType,
+    time_pattern: str = TIME_PATTERN,
+    *,
+    source: DataType = StringType(),
+) -> Column:
+    """A column of type ``source`` as ``data_type``; NULL where the value does not fit.
+
+    Whole-number targets accept text with a decimal spelling and truncate it.
     """
-    if isinstance(data_type, (TimestampType, TimestampNTZType)):
+    if isinstance(data_type, (TimestampType, TimestampNTZType, DateType)):
         return parse_time(column, time_pattern).cast(data_type)
-    if isinstance(data_type, DateType):
-        return parse_time(column, time_pattern).cast("date")
-    if isinstance(data_type, IntegralType):
-        return F.coalesce(
-            column.try_cast(data_type),
-            column.cast("string").try_cast("decimal(38,10)").try_cast(data_type),
-        )
+    if isinstance(source, StringType) and isinstance(data_type, IntegralType):
+        return _whole_number(column, data_type)
+    if isinstance(source, StringType) and isinstance(data_type, BooleanType):
+        return F.when(column.rlike(_BOOLEAN), column.try_cast(data_type))
     return column.try_cast(data_type)
 
 
+def _whole_number(text: Column, data_type: DataType) -> Column:
+    number = text.try_cast("double")
+    return (
+        F.when(text.rlike(_WHOLE), text.try_cast(data_type))
+        .when(~text.rlike(_NUMBER), F.lit(None))
+        .when(F.abs(number) < _EXACT_DOUBLE, number.try_cast(data_type))
+        .otherwise(text.try_cast("decimal(38,10)").try_cast(data_type))
+    )
+
+
 def parse_time(column: Column, time_pattern: str = TIME_PATTERN) -> Column:
-    return F.try_to_timestamp(column.cast("string"), F.lit(time_pattern))
+    text = column.cast("string")
+    if time_pattern == TIME_PATTERN:
+        return F.when(text.rlike(_TIME), text.try_cast("timestamp"))
+    return F.try_to_timestamp(text, F.lit(time_pattern))
 
 
 def parse_amount(column: Column, precision: int = 14, scale: int = 2) -> Column:
@@ -46,10 +79,7 @@ def parse_utc_ts(column: Column) -> Column:
 
 def parse_key_date(column: Column) -> Column:
     """Date from a date or date-and-time key; NULL for any other text."""
-    return F.coalesce(
-        F.try_to_timestamp(column, F.lit(KEY_DATE_PATTERN)),
-        F.try_to_timestamp(column, F.lit(KEY_TIME_PATTERN)),
-    ).cast("date")
+    return F.when(column.rlike(_KEY_DATE), column.try_cast("timestamp_ntz")).cast("date")
 
 
 def date_or_text(column: Column) -> Column:

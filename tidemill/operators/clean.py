@@ -18,8 +18,12 @@ def cast_columns(df: DataFrame, schema: StructType, time_pattern: str = TIME_PAT
     types = {field.name: field.dataType for field in schema}
     return df.select(
         [
-            cast_to(F.col(name), types[name], time_pattern).alias(name) if name in types else F.col(name)
-            for name in df.columns
+            cast_to(
+                F.col(field.name), types[field.name], time_pattern, source=field.dataType
+            ).alias(field.name)
+            if field.name in types
+            else F.col(field.name)
+            for field in df.schema
         ]
     )
 
@@ -34,7 +38,8 @@ def conform_to_schema(df: DataFrame, schema: StructType, time_pattern: str = TIM
         elif present[field.name] == field.dataType:
             column = F.col(field.name)
         else:
-            column = cast_to(F.col(field.name), field.dataType, time_pattern)
+            source = present[field.name]
+            column = cast_to(F.col(field.name), field.dataType, time_pattern, source=source)
         columns.append(column.alias(field.name))
     return df.select(columns)
 
