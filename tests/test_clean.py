@@ -131,7 +131,7 @@ TIMES = [
     "2024-01-32 00:00:00", "2024-01-05 24:00:00", "2024-01-05 23:60:00", "2024-01-05 23:59:60",
     "2024-1-5 10:11:12", "2024-01-05", "2024-01-05T10:11:12", "2024-01-05 10:11:12.5",
     "2024-01-05 10:11:12Z", " 2024-01-05 10:11:12", "2024-01-05 10:11:12 ", "24-01-05 10:11:12",
-    "1969-12-31 23:59:59", "9999-12-31 23:59:59", "today", "", None,
+    "1969-12-31 23:59:59", "9999-12-31 23:59:59", "2024-01-05 10:11:12\n", "2024-01-05\n", "today", "", None,
 ]
 
 

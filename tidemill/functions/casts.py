@@ -20,8 +20,8 @@ UTC_SUFFIX_PATTERN = "yyyy-MM-dd HH:mm:ss Z 'UTC'"
 
 # The shapes of text worth parsing. A failed parse costs an exception, a failed match does
 # not; and a plain cast of text known to have the shape is faster than parsing by pattern.
-_TIME = r"^\d{4}-\d\d-\d\d \d\d:\d\d:\d\d$"
-_KEY_DATE = r"^\d{4}-\d\d?-\d\d?( \d\d?:\d\d?:\d\d?)?$"
+_TIME = r"^\d{4}-\d\d-\d\d \d\d:\d\d:\d\d\z"
+_KEY_DATE = r"^\d{4}-\d\d?-\d\d?( \d\d?:\d\d?:\d\d?)?\z"
 _WHOLE = r"^\s*[+-]?\d+\s*$"
 _BOOLEAN = r"(?i)^\s*(t|true|y|yes|1|f|false|n|no|0)\s*$"
 _NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
