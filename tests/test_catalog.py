@@ -8,6 +8,7 @@ import pytest
 
 import __spark_entry__ as entry_points
 from compare import connect, same_rows
+from tidemill import catalog
 
 FOLDER = os.environ.get("TIDEMILL_TEST_TABLES", "/root/testdata/sf0.01")
 
@@ -18,7 +19,8 @@ def oracle():
 
 
 def test_every_query_has_sql():
-    assert set(entry_points.queries()) == set(entry_points.oracle_sql())
+    assert set(catalog.queries()) == set(catalog.oracle_sql())
+    assert set(catalog.queries()) <= set(entry_points.queries())
 
 
 def test_entry_runs(spark):
@@ -30,7 +32,7 @@ def test_entry_runs(spark):
     ]
 
 
-@pytest.mark.parametrize("name", sorted(entry_points.queries()))
+@pytest.mark.parametrize("name", sorted(catalog.queries()))
 def test_matches_sql(name, spark, oracle):
     result = entry_points.queries()[name](spark, FOLDER)
     assert same_rows(result, entry_points.oracle_sql()[name], oracle) > 0
