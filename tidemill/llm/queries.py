@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemill.llm import language, quality_trees, token_counts
+from tidemill.llm import language, quality_trees, superminhash, token_counts
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -18,6 +18,10 @@ def op1_quality(spark: SparkSession, folder: str) -> DataFrame:
     return scored.select("doc_id", "held_out", "score", "predicted")
 
 
+def op6_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    return superminhash.near_duplicates(_table(spark, folder, "documents"), size=2, percent=80)
+
+
 def op7_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.json")
     counted = token_counts.count_tokens(_table(spark, folder, "documents"), path)
@@ -31,6 +35,7 @@ def op9_language(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     "op1_quality": op1_quality,
+    "op6_near_duplicates": op6_near_duplicates,
     "op7_token_counts": op7_token_counts,
     "op9_language": op9_language,
 }
