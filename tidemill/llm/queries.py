@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemill.llm import language, quality_trees, superminhash, token_counts
+from tidemill.llm import language, line_runs, quality_trees, superminhash, token_counts
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -33,10 +33,32 @@ def op9_language(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "held_out", "lang_pred", "score")
 
 
+def op10_line_runs(spark: SparkSession, folder: str) -> DataFrame:
+    cleaned = line_runs.remove_repeated_lines(_table(spark, folder, "documents"))
+    return cleaned.select("doc_id", "n_lines", "n_removed", "text")
+
+
 QUERIES = {
     "op1_quality": op1_quality,
     "op6_near_duplicates": op6_near_duplicates,
     "op7_token_counts": op7_token_counts,
     "op9_language": op9_language,
+    "op10_line_runs": op10_line_runs,
+}
+SQL: dict[str, str] = {
+    "op10_line_runs": """
+        WITH lines AS (
+            SELECT doc_id, unnest(string_split(text, chr(10))) AS line,
+                   generate_subscripts(string_split(text, chr(10)), 1) AS n
+            FROM documents
+        ), marked AS (
+            SELECT doc_id, line, n,
+                   regexp_matches(line, '[^\\x20\\x09-\\x0D]')
+                   AND row_number() OVER (PARTITION BY line ORDER BY doc_id, n) > 1 AS gone
+            FROM lines
+        )
+        SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_removed,
+               coalesce(string_agg(line, chr(10) ORDER BY n) FILTER (NOT gone), '') AS text
+        FROM marked GROUP BY doc_id
+    """,
 }
-SQL: dict[str, str] = {}
