@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemill.llm import language, line_runs, quality_trees, superminhash, token_counts
+from tidemill.llm import language, line_runs, quality_trees, source_mix, superminhash, token_counts
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -28,6 +28,11 @@ def op7_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return counted.select("doc_id", "n_bytes", "n_tokens", "over_limit")
 
 
+def op8_source_mix(spark: SparkSession, folder: str) -> DataFrame:
+    mixed = source_mix.mix(_table(spark, folder, "documents"))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
 def op9_language(spark: SparkSession, folder: str) -> DataFrame:
     found = language.predict_language(_table(spark, folder, "documents"))
     return found.select("doc_id", "held_out", "lang_pred", "score")
@@ -42,6 +47,7 @@ QUERIES = {
     "op1_quality": op1_quality,
     "op6_near_duplicates": op6_near_duplicates,
     "op7_token_counts": op7_token_counts,
+    "op8_source_mix": op8_source_mix,
     "op9_language": op9_language,
     "op10_line_runs": op10_line_runs,
 }
