@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemill.llm import decontamination, language, line_runs, passage_chains, quality_trees, source_mix, superminhash, token_counts, toxicity
+from tidemill.llm import decontamination, language, line_runs, passage_chains, prefix_forest, quality_trees, source_mix, superminhash, token_counts, toxicity
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -26,6 +26,10 @@ def op3_passages(spark: SparkSession, folder: str) -> DataFrame:
     return passage_chains.repeated_passages(_table(spark, folder, "documents"))
 
 
+def op4_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    return prefix_forest.nearest(_table(spark, folder, "embeddings"))
+
+
 def op5_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     documents, labels = _table(spark, folder, "documents"), _table(spark, folder, "labels")
     scored = toxicity.score_toxicity(documents, labels)
@@ -61,6 +65,7 @@ QUERIES = {
     "op1_quality": op1_quality,
     "op2_decontamination": op2_decontamination,
     "op3_passages": op3_passages,
+    "op4_neighbours": op4_neighbours,
     "op5_toxicity": op5_toxicity,
     "op6_near_duplicates": op6_near_duplicates,
     "op7_token_counts": op7_token_counts,
