@@ -8,7 +8,7 @@ from decimal import Decimal
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import DateType, StructField, StructType, TimestampNTZType, TimestampType
 
 from tidemill import schemas
 from tidemill.functions import casts, labels, records
@@ -161,6 +161,42 @@ def test_missing_numbers_are_zero_and_bad_ones_fail_or_are_zero(spark):
     assert bad.select(casts.number_or_zero(F.col("x"), "int", strict=False)).first()[0] == 0
 
 
+@pytest.mark.parametrize("strict", [True, False])
+def test_a_number_that_does_not_fit_is_never_zero(spark, strict):
+    large = one_column(spark, "3000000000")
+    assert large.select(casts.number_or_zero(F.col("x"), "bigint", strict=strict)).first()[0] == 3_000_000_000
+    with pytest.raises(PySparkException, match="3000000000"):
+        large.select(casts.number_or_zero(F.col("x"), "int", strict=strict)).collect()
+
+
+def test_serving_types_fail_rather_than_cut(spark):
+    results = spark.createDataFrame([("a", "7", "12345678901.25", None)], LOOSE)
+    typed = serving.normalize_results(results, key="k")
+    assert tuples(serving.serving_types(typed).select("transactions_count", "total_amount")) == [
+        (7, Decimal("12345678901.25"))
+    ]
+    larger = serving.normalize_results(results.withColumn("total_amount", F.lit("1234567890123.5")), key="k")
+    assert tuples(larger.select("total_amount")) == [(Decimal("1234567890123.50"),)]
+    with pytest.raises(PySparkException, match="1234567890123.50"):
+        serving.serving_types(larger).collect()
+
+
+def test_dates_and_times_keep_their_value(spark):
+    df = spark.sql(
+        "SELECT TIMESTAMP_NTZ'2024-01-05 10:11:12.345678' AS n, TIMESTAMP'2024-01-05 10:11:12.345678' AS t, "
+        "DATE'2024-01-05' AS d, '2024-01-05' AS day, '2024-01-05 23:59:59' AS moment, '5 Jan' AS none"
+    )
+    moment, day = dt.datetime(2024, 1, 5, 10, 11, 12, 345678), dt.date(2024, 1, 5)
+    to_time = StructType([StructField(name, TimestampType()) for name in ("n", "t", "d")])
+    assert tuples(clean.cast_columns(df, to_time).select("n", "t", "d")) == [
+        (moment, moment, dt.datetime(2024, 1, 5))
+    ]
+    to_day = StructType([StructField(name, DateType()) for name in ("n", "t", "d", "day", "moment", "none")])
+    assert tuples(clean.conform_to_schema(df, to_day)) == [(day, day, day, day, day, None)]
+    to_ntz = StructType([StructField("t", TimestampNTZType())])
+    assert tuples(clean.conform_to_schema(df, to_ntz)) == [(moment,)]
+
+
 LOOSE = "k string, transactions_count string, total_amount string, avg_amount string"
 
 
@@ -183,9 +219,9 @@ def test_normalized_dates(loose):
     typed = serving.normalize_results(loose, key="k", key_type="date")
     assert typed.dtypes == [
         ("k", "date"),
-        ("transactions_count", "int"),
-        ("total_amount", "decimal(14,2)"),
-        ("avg_amount", "decimal(14,2)"),
+        ("transactions_count", "bigint"),
+        ("total_amount", "decimal(38,2)"),
+        ("avg_amount", "decimal(38,2)"),
     ]
     assert tuples(typed) == [
         (dt.date(2024, 1, 5), 2, Decimal("10.56"), Decimal("5.28")),
@@ -207,7 +243,7 @@ def test_normalized_text_keeps_a_category_spelled_like_a_date(loose):
     with pytest.raises(ValueError):
         serving.normalize_results(loose, key="k", key_type="number")
     expected = schemas.serving_result("k", loose.schema["k"].dataType)
-    typed = serving.normalize_results(loose, key="k").schema
+    typed = serving.serving_types(serving.normalize_results(loose, key="k")).schema
     assert [(f.name, f.dataType) for f in typed] == [(f.name, f.dataType) for f in expected]
 
 

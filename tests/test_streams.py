@@ -36,8 +36,8 @@ def topic(spark, folder):
     return path
 
 
-def stream(spark, path, **settings):
-    return folder_source(spark, path, "parquet", schema=spark.read.parquet(path).schema, **settings)
+def stream(spark, path, max_files=10):
+    return folder_source(spark, path, "parquet", schema=spark.read.parquet(path).schema, max_files=max_files)
 
 
 def test_drain_to_text_and_restart(spark, folder, topic):
@@ -91,6 +91,17 @@ def test_bad_rows_go_apart(spark, folder, topic):
     assert tuples(spark.read.parquet(folder + "/bad").select("id", "reject_reason")) == [(None, "id")] * 2
 
 
+def test_bad_rows_go_apart_over_several_batches(spark, folder, topic):
+    write = checked_batches(folder_batches(folder + "/good"), folder_batches(folder + "/bad"), ["id"])
+    comments.stream_comments(
+        stream(spark, topic, max_files=1), write, folder + "-c", SCHEMA, available_now=True
+    ).awaitTermination()
+    good, bad = (spark.read.parquet(f"{folder}/{name}") for name in ("good", "bad"))
+    assert good.count() == 6 and bad.count() == 2
+    assert {row[0] for row in good.select("batch_id").union(bad.select("batch_id")).collect()} == {0, 1}
+    assert not spark.sparkContext._jsc.getPersistentRDDs()
+
+
 def test_interval_run_keeps_going_until_stopped(spark, folder, topic):
     query = comments.stream_comments(
         stream(spark, topic), folder_batches(folder), folder + "-c", SCHEMA, interval="1 second"

@@ -154,6 +154,12 @@ def headerless_amounts(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def parquet_projection(spark: SparkSession, folder: str) -> DataFrame:
+    lines = read_parquet(spark, f"{folder}/lineitem.parquet")
+    return lines.select(F.col("l_orderkey").alias("order_id"), F.col("l_returnflag").alias("category"))
+
+
+def parquet_filter(spark: SparkSession, folder: str) -> DataFrame:
+    """Lines from a date on; the filter reaches the scan."""
     lines = read_parquet(spark, f"{folder}/lineitem.parquet")
     return lines.where(F.col("l_shipdate") >= F.lit("2000-01-01").cast("timestamp_ntz")).select(
         F.col("l_orderkey").alias("order_id"), F.col("l_returnflag").alias("category")
@@ -201,9 +207,10 @@ def conformed_rows(spark: SparkSession, folder: str) -> DataFrame:
         value="integer",
         event_id="long",
         user_id="string",
+        ts="timestamp",
         note="string",
     )
-    return conform_to_schema(table(spark, folder, "events"), schema)
+    return _without_zone(conform_to_schema(table(spark, folder, "events"), schema))
 
 
 def rejected_rows(spark: SparkSession, folder: str) -> DataFrame:
@@ -212,8 +219,9 @@ def rejected_rows(spark: SparkSession, folder: str) -> DataFrame:
         "value",
         F.when(F.col("event_type") == "error", F.lit("n/a")).otherwise(F.col("value").cast("string")),
     )
-    decoded = cast_columns(events.drop("ts"), EVENT)
-    return rejected(with_reject_reason(decoded, ["event_id", "value"])).select("event_id", "reject_reason")
+    decoded = cast_columns(events, EVENT)
+    found = rejected(with_reject_reason(decoded, ["event_id", "ts", "value"]))
+    return _without_zone(found.select("event_id", "ts", "reject_reason"))
 
 
 def normalize_results(spark: SparkSession, folder: str) -> DataFrame:
@@ -269,24 +277,24 @@ def replace_aggregates(spark: SparkSession, folder: str) -> DataFrame:
     return as_double(read_latest(spark, root, ["order_id"]), "total_amount")
 
 
-def _migrated(spark: SparkSession, folder: str) -> tuple[str, str]:
-    """Both reports loaded, then loaded again as a repeated job would."""
-    days, categories = new_path(spark, "days"), new_path(spark, "categories")
-    for load_id in (1, 2):
-        serving.migrate_aggregates(
-            tables.logs(spark, folder), tables.transactions(spark, folder), days, categories, load_id
-        )
-    return days, categories
-
-
 def migrated_days(spark: SparkSession, folder: str) -> DataFrame:
-    days, _ = _migrated(spark, folder)
-    return as_double(read_latest(spark, days, ["transaction_date"]), "total_amount", "avg_amount")
+    """All days loaded, then the odd ones again with higher amounts: those replace the first."""
+    root, first = new_path(spark, "days"), tables.transactions(spark, folder)
+    odd = first.where(F.dayofmonth("transaction_date") % 2 == 1)
+    second = odd.withColumn("amount", (F.col("amount") + 1).cast("decimal(12,2)"))
+    for load_id, deals in enumerate((first, second), 1):
+        serving.migrate_days(deals, root, load_id)
+    return as_double(read_latest(spark, root, ["transaction_date"]), "total_amount", "avg_amount")
 
 
 def migrated_categories(spark: SparkSession, folder: str) -> DataFrame:
-    _, categories = _migrated(spark, folder)
-    return as_double(read_latest(spark, categories, ["category_name"]), "total_amount", "avg_amount")
+    """All categories loaded, then one again with higher amounts."""
+    root = new_path(spark, "categories")
+    logs, deals = tables.logs(spark, folder), tables.transactions(spark, folder)
+    higher = deals.withColumn("amount", (F.col("amount") + 1).cast("decimal(12,2)"))
+    serving.migrate_categories(logs, deals, root, 1)
+    serving.migrate_categories(logs.where(F.col("category") == "R"), higher, root, 2)
+    return as_double(read_latest(spark, root, ["category_name"]), "total_amount", "avg_amount")
 
 
 def sorted_layout(spark: SparkSession, folder: str) -> DataFrame:
@@ -319,6 +327,7 @@ QUERIES = {
     "load_orders": load_orders,
     "headerless_amounts": headerless_amounts,
     "parquet_projection": parquet_projection,
+    "parquet_filter": parquet_filter,
     "table_source": table_source,
     "typed_casts": typed_casts,
     "conformed_rows": conformed_rows,
@@ -341,11 +350,14 @@ _ORDERS = """
     FROM orders
 """
 
-_NORMALIZED_CATEGORIES = f"""
-    SELECT category_name, CAST(transactions_count AS INTEGER) AS transactions_count, total_amount,
-           CAST(CAST(CAST(avg_amount AS VARCHAR) AS DECIMAL(14,2)) AS DOUBLE) AS avg_amount
-    FROM ({reports.SQL["category_rollup"]})
-"""
+
+def _normalized_categories(count_type: str, rollup: str) -> str:
+    return f"""
+        SELECT category_name, CAST(transactions_count AS {count_type}) AS transactions_count, total_amount,
+               CAST(CAST(CAST(avg_amount AS VARCHAR) AS DECIMAL(14,2)) AS DOUBLE) AS avg_amount
+        FROM ({rollup})
+    """
+
 
 SQL = {
     "csv_header_inferred": "SELECT conv_id, turn, role, text FROM conversations",
@@ -370,7 +382,8 @@ SQL = {
                CASE WHEN o_orderstatus <> 'P' THEN o_orderdate END AS born
         FROM orders
     """,
-    "parquet_projection": """
+    "parquet_projection": "SELECT l_orderkey AS order_id, l_returnflag AS category FROM lineitem",
+    "parquet_filter": """
         SELECT l_orderkey AS order_id, l_returnflag AS category
         FROM lineitem WHERE l_shipdate >= TIMESTAMP '2000-01-01 00:00:00'
     """,
@@ -385,15 +398,15 @@ SQL = {
     """,
     "conformed_rows": """
         SELECT CAST(trunc(value) AS INTEGER) AS value, event_id, CAST(user_id AS VARCHAR) AS user_id,
-               CAST(NULL AS VARCHAR) AS note
+               ts, CAST(NULL AS VARCHAR) AS note
         FROM events
     """,
     "rejected_rows": """
-        SELECT event_id, 'value' AS reject_reason FROM events WHERE event_type = 'error'
+        SELECT event_id, ts, 'value' AS reject_reason FROM events WHERE event_type = 'error'
     """,
     "normalize_results": """
         SELECT day AS transaction_date,
-               CASE WHEN month(day) = 2 THEN 0 ELSE CAST(orders_in_day AS INTEGER) END AS transactions_count,
+               CASE WHEN month(day) = 2 THEN 0 ELSE CAST(orders_in_day AS BIGINT) END AS transactions_count,
                CASE WHEN month(day) = 3 THEN 0.0 ELSE CAST(total AS DOUBLE) END AS total_amount,
                CAST(CAST(CAST(CAST(total AS DOUBLE) / orders_in_day AS VARCHAR) AS DECIMAL(14,2))
                     AS DOUBLE) AS avg_amount
@@ -403,7 +416,7 @@ SQL = {
             FROM orders GROUP BY CAST(o_orderdate AS DATE)
         )
     """,
-    "normalize_categories": _NORMALIZED_CATEGORIES,
+    "normalize_categories": _normalized_categories("BIGINT", reports.SQL["category_rollup"]),
     "publish_json": """
         SELECT event_id, date_trunc('second', ts) AS ts, user_id, event_type, value, props FROM events
     """,
@@ -416,13 +429,22 @@ SQL = {
                o_orderstatus AS payment_status
         FROM orders
     """,
-    "migrated_days": f"""
-        SELECT transaction_date, CAST(transactions_count AS INTEGER) AS transactions_count,
-               total_amount,
-               CAST(CAST(CAST(avg_amount AS VARCHAR) AS DECIMAL(14,2)) AS DOUBLE) AS avg_amount
-        FROM ({reports.SQL["daily_transactions"]})
+    "migrated_days": """
+        SELECT day AS transaction_date, CAST(orders_in_day AS INTEGER) AS transactions_count,
+               CAST(total AS DOUBLE) AS total_amount,
+               CAST(CAST(CAST(CAST(total AS DOUBLE) / orders_in_day AS VARCHAR) AS DECIMAL(14,2))
+                    AS DOUBLE) AS avg_amount
+        FROM (
+            SELECT CAST(o_orderdate AS DATE) AS day, COUNT(*) AS orders_in_day,
+                   SUM(CAST(o_totalprice AS DECIMAL(12,2)) + dayofmonth(o_orderdate) % 2) AS total
+            FROM orders GROUP BY CAST(o_orderdate AS DATE)
+        )
+    """,
+    "migrated_categories": f"""
+        {_normalized_categories("INTEGER", reports.SQL["category_rollup"])} WHERE category_name <> 'R'
+        UNION ALL
+        {_normalized_categories("INTEGER", reports.category_rollup_sql(1))} WHERE category_name = 'R'
     """,
-    "migrated_categories": _NORMALIZED_CATEGORIES,
     "sorted_layout": "SELECT * FROM lineitem",
     "land_raw_comments": "SELECT *, CAST(ts AS DATE) AS ts_day FROM events",
 }

@@ -109,15 +109,37 @@ QUERIES = {
     "user_order_ranking": user_order_ranking,
 }
 
-_CATEGORY_VALUES = """
-    SELECT DISTINCT li.l_returnflag AS category_name,
-           DENSE_RANK() OVER (PARTITION BY li.l_returnflag ORDER BY o.o_orderkey)
-           + DENSE_RANK() OVER (PARTITION BY li.l_returnflag ORDER BY o.o_orderkey DESC)
-           - 1 AS transactions_count,
-           CAST(AVG(CAST(o.o_totalprice AS DECIMAL(12,2))) OVER (PARTITION BY o.o_orderkey)
-                AS DECIMAL(16,6)) AS avg_amount
-    FROM lineitem li JOIN orders o ON li.l_orderkey = o.o_orderkey
-"""
+
+def _category_values_sql(more: int = 0) -> str:
+    """Per category the number of its orders, with each different amount they have."""
+    return f"""
+        WITH held AS (
+            SELECT l_returnflag AS category_name, l_orderkey AS order_key
+            FROM lineitem SEMI JOIN orders ON l_orderkey = o_orderkey
+            GROUP BY l_returnflag, l_orderkey
+        ), sizes AS (
+            SELECT category_name, COUNT(order_key) AS transactions_count FROM held GROUP BY category_name
+        ), amounts AS (
+            SELECT o_orderkey AS order_key,
+                   CAST(AVG(CAST(o_totalprice AS DECIMAL(12,2)) + {more}) AS DECIMAL(16,6)) AS avg_amount
+            FROM orders GROUP BY o_orderkey
+        )
+        SELECT category_name, transactions_count, avg_amount
+        FROM held JOIN sizes USING (category_name) JOIN amounts USING (order_key)
+        GROUP BY category_name, transactions_count, avg_amount
+    """
+
+
+def category_rollup_sql(more: int = 0) -> str:
+    """The category report, every amount raised by ``more``."""
+    return f"""
+        SELECT category_name, CAST(MAX(transactions_count) AS BIGINT) AS transactions_count,
+               CAST(SUM(avg_amount) AS DOUBLE) AS total_amount,
+               CAST(SUM(avg_amount) AS DOUBLE) / COUNT(avg_amount) AS avg_amount
+        FROM ({_category_values_sql(more)})
+        GROUP BY category_name
+    """
+
 
 SQL = {
     "currency_totals": """
@@ -154,15 +176,9 @@ SQL = {
     "category_values": f"""
         SELECT category_name, CAST(transactions_count AS BIGINT) AS transactions_count,
                CAST(avg_amount AS DOUBLE) AS avg_amount
-        FROM ({_CATEGORY_VALUES})
-    """,
-    "category_rollup": f"""
-        SELECT category_name, CAST(MAX(transactions_count) AS BIGINT) AS transactions_count,
-               CAST(SUM(avg_amount) AS DOUBLE) AS total_amount,
-               CAST(SUM(avg_amount) AS DOUBLE) / COUNT(avg_amount) AS avg_amount
-        FROM ({_CATEGORY_VALUES})
-        GROUP BY category_name
+        FROM ({_category_values_sql()})
     """,
+    "category_rollup": category_rollup_sql(),
     "category_rollup_exact": """
         SELECT category_name, COUNT(*) AS transactions_count,
                CAST(SUM(amount) AS DOUBLE) AS total_amount,

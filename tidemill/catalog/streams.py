@@ -17,10 +17,30 @@ from tidemill.streaming.runs import drain_to_text, start_batches
 from tidemill.streaming.sinks import checked_batches, folder_batches
 
 
+# Files of a micro-batch; the topics below hold more, so that several batches run.
+MAX_FILES = 4
+TOPIC_FILES = 10
+
+
+def _without_batch(rows: DataFrame) -> DataFrame:
+    return rows.drop("batch_id").withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+
+
+def _written(spark: SparkSession, target: str) -> DataFrame:
+    return _without_batch(spark.read.parquet(target))
+
+
+def _topic(records: DataFrame) -> str:
+    """Records in the files of a folder, dealt out by content."""
+    path = new_path(records.sparkSession, "topic")
+    write_text(records.repartition(TOPIC_FILES, "value"), path)
+    return path
+
+
 def drain_messages(spark: SparkSession, folder: str) -> DataFrame:
     schema = LAYOUTS["events"]
     # As a pattern the table may be one file as well as a folder of files.
-    records = folder_source(spark, f"{folder}/events.parque[t]", "parquet", schema=schema).select(
+    records = folder_source(spark, f"{folder}/events.parque[t]", "parquet", schema=schema, max_files=MAX_FILES).select(
         F.encode("props", "UTF-8").alias("value")
     )
     target = new_path(spark, "messages")
@@ -30,10 +50,10 @@ def drain_messages(spark: SparkSession, folder: str) -> DataFrame:
 
 def _ingest(spark: SparkSession, records: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Records through a topic folder and the stream into accepted and rejected tables."""
-    topic, good, bad = (new_path(spark, name) for name in ("topic", "accepted", "rejected"))
-    write_text(records, topic)
+    good, bad = (new_path(spark, name) for name in ("accepted", "rejected"))
+    topic = _topic(records)
     comments.stream_comments(
-        folder_source(spark, topic, "text"),
+        folder_source(spark, topic, "text", max_files=MAX_FILES),
         checked_batches(folder_batches(good), folder_batches(bad), ["event_id", "value"]),
         new_path(spark, "checkpoint"),
         EVENT,
@@ -44,7 +64,7 @@ def _ingest(spark: SparkSession, records: DataFrame) -> tuple[DataFrame, DataFra
 
 def stream_comments(spark: SparkSession, folder: str) -> DataFrame:
     good, _ = _ingest(spark, encode_rows(times_as_text(table(spark, folder, "events"))))
-    return good.drop("batch_id").withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+    return _without_batch(good)
 
 
 def stream_rejects(spark: SparkSession, folder: str) -> DataFrame:
@@ -59,10 +79,10 @@ def stream_rejects(spark: SparkSession, folder: str) -> DataFrame:
 
 def stream_at_interval(spark: SparkSession, folder: str) -> DataFrame:
     """Micro-batches started by the clock, stopped once all records are in."""
-    topic, target = new_path(spark, "topic"), new_path(spark, "batches")
-    write_text(encode_rows(times_as_text(table(spark, folder, "events"))), topic)
+    target = new_path(spark, "batches")
+    topic = _topic(encode_rows(times_as_text(table(spark, folder, "events"))))
     query = start_batches(
-        decode_records(folder_source(spark, topic, "text"), EVENT),
+        decode_records(folder_source(spark, topic, "text", max_files=MAX_FILES), EVENT),
         folder_batches(target),
         new_path(spark, "checkpoint"),
         interval="1 second",
@@ -71,13 +91,13 @@ def stream_at_interval(spark: SparkSession, folder: str) -> DataFrame:
         query.processAllAvailable()
     finally:
         query.stop()
-    return spark.read.parquet(target).select("event_id", "user_id", "value")
+    return _written(spark, target)
 
 
 def stream_restarted(spark: SparkSession, folder: str) -> DataFrame:
     """Two runs on one checkpoint, each batch written twice: every record is there once."""
-    topic, target, checkpoint = (new_path(spark, name) for name in ("topic", "batches", "checkpoint"))
-    write_text(encode_rows(times_as_text(table(spark, folder, "events"))), topic)
+    target, checkpoint = (new_path(spark, name) for name in ("batches", "checkpoint"))
+    topic = _topic(encode_rows(times_as_text(table(spark, folder, "events"))))
     write = folder_batches(target)
 
     def write_twice(batch: DataFrame, batch_id: int) -> None:
@@ -86,13 +106,13 @@ def stream_restarted(spark: SparkSession, folder: str) -> DataFrame:
 
     for _ in range(2):
         comments.stream_comments(
-            folder_source(spark, topic, "text", max_files=1000),
+            folder_source(spark, topic, "text", max_files=MAX_FILES),
             write_twice,
             checkpoint,
             EVENT,
             available_now=True,
         ).awaitTermination()
-    return spark.read.parquet(target).select("event_id", "user_id", "value")
+    return _written(spark, target)
 
 
 QUERIES = {
@@ -103,14 +123,16 @@ QUERIES = {
     "stream_restarted": stream_restarted,
 }
 
+_EVENTS = """
+    SELECT event_id, date_trunc('second', ts) AS ts, user_id, event_type, value, props FROM events
+"""
+
 SQL = {
     "drain_messages": "SELECT props AS value FROM events WHERE props IS NOT NULL",
-    "stream_comments": """
-        SELECT event_id, date_trunc('second', ts) AS ts, user_id, event_type, value, props FROM events
-    """,
+    "stream_comments": _EVENTS,
     "stream_rejects": """
         SELECT event_id, user_id, 'value' AS reject_reason FROM events WHERE event_type = 'error'
     """,
-    "stream_at_interval": "SELECT event_id, user_id, value FROM events",
-    "stream_restarted": "SELECT event_id, user_id, value FROM events",
+    "stream_at_interval": _EVENTS,
+    "stream_restarted": _EVENTS,
 }

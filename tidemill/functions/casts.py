@@ -21,6 +21,7 @@ UTC_SUFFIX_PATTERN = "yyyy-MM-dd HH:mm:ss Z 'UTC'"
 # The shapes of text worth parsing. A failed parse costs an exception, a failed match does
 # not; and a plain cast of text known to have the shape is faster than parsing by pattern.
 _TIME = r"^\d{4}-\d\d-\d\d \d\d:\d\d:\d\d\z"
+_DATE = r"^\d{4}-\d\d-\d\d\z"
 _KEY_DATE = r"^\d{4}-\d\d?-\d\d?( \d\d?:\d\d?:\d\d?)?\z"
 _WHOLE = r"^\s*[+-]?\d+\s*$"
 _BOOLEAN = r"(?i)^\s*(t|true|y|yes|1|f|false|n|no|0)\s*$"
@@ -39,9 +40,17 @@ def cast_to(
 ) -> Column:
     """A column of type ``source`` as ``data_type``; NULL where the value does not fit.
 
-    Whole-number targets accept text with a decimal spelling and truncate it.
+    Whole-number targets accept text with a decimal spelling and truncate it. Dates and times
+    are converted as they are, fractions of a second included; a date is also read from text
+    that holds only a date.
     """
-    if isinstance(data_type, (TimestampType, TimestampNTZType, DateType)):
+    if isinstance(source, (DateType, TimestampType, TimestampNTZType)):
+        return column if source == data_type else column.try_cast(data_type)
+    if isinstance(data_type, DateType):
+        text = column.cast("string")
+        day = F.when(text.rlike(_DATE), text.try_cast("date"))
+        return F.coalesce(day, parse_time(column, time_pattern).cast("date"))
+    if isinstance(data_type, (TimestampType, TimestampNTZType)):
         return parse_time(column, time_pattern).cast(data_type)
     if isinstance(source, StringType) and isinstance(data_type, IntegralType):
         return _whole_number(column, data_type)
@@ -88,12 +97,17 @@ def date_or_text(column: Column) -> Column:
 
 
 def number_or_zero(column: Column, data_type: str, *, strict: bool = True) -> Column:
-    """NULL and empty text become 0. Malformed text fails if ``strict``, else becomes 0."""
+    """NULL and empty text become 0. Text that is no number fails if ``strict``, else becomes 0;
+    a number that ``data_type`` cannot hold always fails."""
     text = column.cast("string")
     zero = F.lit(0).cast(data_type)
-    malformed = (
-        F.raise_error(F.concat(F.lit("not a number: "), text)).cast(data_type) if strict else zero
-    )
-    return F.when(text.isNull() | (text == ""), zero).otherwise(
-        F.coalesce(text.try_cast(data_type), malformed)
-    )
+    raised = lambda reason: F.raise_error(F.concat(F.lit(f"{reason}: "), text)).cast(data_type)
+    malformed = raised("not a number") if strict else zero
+    unfit = F.when(text.rlike(_NUMBER), raised(f"not a value of {data_type}")).otherwise(malformed)
+    return F.when(text.isNull() | (text == ""), zero).otherwise(F.coalesce(text.try_cast(data_type), unfit))
+
+
+def exactly(column: Column, data_type: str) -> Column:
+    """A number as ``data_type``; fails where it does not fit rather than giving NULL."""
+    unfit = F.raise_error(F.concat(F.lit(f"not a value of {data_type}: "), column.cast("string")))
+    return F.when(column.isNotNull(), F.coalesce(column.try_cast(data_type), unfit.cast(data_type)))

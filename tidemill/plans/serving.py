@@ -5,10 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemill.functions.casts import date_or_text, number_or_zero, parse_key_date
+from tidemill.functions.casts import date_or_text, exactly, number_or_zero, parse_key_date
 from tidemill.plans.transactions import category_rollup, daily_transactions
 from tidemill.sinks.keyed import append_load
 
+# Types wide enough for counts and sums of any size.
+WIDE_COUNT, WIDE_MONEY = "bigint", "decimal(38,2)"
 # Types of the serving columns.
 COUNT_TYPE = "int"
 MONEY_TYPE = "decimal(14,2)"
@@ -29,7 +31,9 @@ def normalize_results(
     mean: str = "avg_amount",
     strict: bool = True,
 ) -> DataFrame:
-    """Typed serving rows; rows without a key are dropped, missing numbers are 0.
+    """Typed rows; rows without a key are dropped, missing numbers are 0.
+
+    Numbers are wide; ``serving_types`` makes them those of the serving table.
 
     ``key_type``: ``text`` keeps the key, ``date`` parses it (keys that are no date are in
     ``unparsed_results``), ``mixed`` normalizes dates and keeps other text as it is.
@@ -47,9 +51,20 @@ def normalize_results(
         raise ValueError(f"unknown key type: {key_type}")
     return keyed.select(
         parsed.alias(key),
-        number_or_zero(F.col(count), COUNT_TYPE, strict=strict).alias(count),
-        number_or_zero(F.col(total), MONEY_TYPE, strict=strict).alias(total),
-        number_or_zero(F.col(mean), MONEY_TYPE, strict=strict).alias(mean),
+        number_or_zero(F.col(count), WIDE_COUNT, strict=strict).alias(count),
+        number_or_zero(F.col(total), WIDE_MONEY, strict=strict).alias(total),
+        number_or_zero(F.col(mean), WIDE_MONEY, strict=strict).alias(mean),
+    )
+
+
+def serving_types(results: DataFrame, *, count_type: str = COUNT_TYPE, money_type: str = MONEY_TYPE) -> DataFrame:
+    """Normalized results in the types of the serving table; a value that does not fit fails the job."""
+    types = {WIDE_COUNT: count_type, WIDE_MONEY: money_type}
+    return results.select(
+        [
+            exactly(F.col(name), types[kind]).alias(name) if kind in types else F.col(name)
+            for name, kind in results.dtypes
+        ]
     )
 
 
@@ -67,13 +82,13 @@ def replace_aggregates(results: DataFrame, root: str, load_id: int) -> None:
     append_load(results, root, load_id)
 
 
-def migrate_aggregates(
-    logs: DataFrame, transactions: DataFrame, days_root: str, categories_root: str, load_id: int
-) -> None:
-    """Load the daily and the category report into their keyed serving tables."""
-    days = daily_transactions(transactions)
-    replace_aggregates(
-        normalize_results(days, key="transaction_date", key_type="date"), days_root, load_id
-    )
-    categories = category_rollup(logs, transactions)
-    replace_aggregates(normalize_results(categories, key="category_name"), categories_root, load_id)
+def migrate_days(transactions: DataFrame, root: str, load_id: int) -> None:
+    """Load the daily report into its keyed serving table."""
+    days = normalize_results(daily_transactions(transactions), key="transaction_date", key_type="date")
+    replace_aggregates(serving_types(days), root, load_id)
+
+
+def migrate_categories(logs: DataFrame, transactions: DataFrame, root: str, load_id: int) -> None:
+    """Load the category report into its keyed serving table."""
+    categories = normalize_results(category_rollup(logs, transactions), key="category_name")
+    replace_aggregates(serving_types(categories), root, load_id)

@@ -12,12 +12,13 @@ def build_session(
     app_name: str,
     *,
     master: str | None = None,
-    shuffle_partitions: int | None = None,
+    shuffle_partitions: int,
     options: dict[str, str] | None = None,
 ) -> SparkSession:
     """Session in UTC with adaptive execution on.
 
-    ``spark.checkpoint.dir`` is left to the cluster; see ``tidemill.scratch``.
+    ``shuffle_partitions`` is what the largest shuffle needs (``shuffle_partitions_for``): adaptive
+    execution merges partitions but adds none to a sort. ``spark.checkpoint.dir`` is left to the cluster; see ``tidemill.scratch``.
     """
     builder = (
         SparkSession.builder.appName(app_name)
@@ -28,8 +29,7 @@ def build_session(
     )
     if master is not None:
         builder = builder.master(master)
-    if shuffle_partitions is not None:
-        builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     for name, value in (options or {}).items():
         builder = builder.config(name, value)
     return builder.getOrCreate()

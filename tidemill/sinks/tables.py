@@ -34,9 +34,13 @@ def switch_location(spark: SparkSession, table: str, location: str) -> None:
 
 
 def jdbc_sink_options(
-    connection: Mapping[str, str], table: str, *, connections: int = 8, batch_size: int = 10_000
+    connection: Mapping[str, str], table: str, *, connections: int, batch_size: int = 10_000
 ) -> dict[str, str]:
-    """Writer options; ``connections`` bounds the tasks writing at the same time."""
+    """Writer options; ``connections`` bounds the tasks writing at the same time.
+
+    The writer narrows the rows to that many partitions without a shuffle, so the stage before
+    it runs in as many tasks: write its result first where that is too few.
+    """
     return {
         **connection,
         "dbtable": table,

@@ -15,19 +15,18 @@ def kafka_source_options(
     connection: Mapping[str, str],
     topic: str,
     *,
+    max_offsets: int,
     starting: str = "earliest",
-    max_offsets: int | None = None,
     min_partitions: int | None = None,
 ) -> dict[str, str]:
     """Options to subscribe to ``topic``. Servers and credentials come in ``connection``.
 
-    ``max_offsets`` bounds a micro-batch, ``min_partitions`` splits large topic partitions.
+    ``max_offsets`` bounds a micro-batch, also when a backlog is drained; ``min_partitions`` splits large topic partitions.
     """
     if starting not in STARTING_OFFSETS:
         raise ValueError(f"starting must be one of {STARTING_OFFSETS}")
     options = {**connection, "subscribe": topic, "startingOffsets": starting}
-    if max_offsets is not None:
-        options["maxOffsetsPerTrigger"] = str(max_offsets)
+    options["maxOffsetsPerTrigger"] = str(max_offsets)
     if min_partitions is not None:
         options["minPartitions"] = str(min_partitions)
     return options
@@ -45,13 +44,11 @@ def folder_source(
     path: str,
     file_format: str,
     *,
+    max_files: int,
     schema: StructType | None = None,
-    max_files: int | None = None,
 ) -> DataFrame:
     """Stream of the files in a folder, ``max_files`` to a micro-batch."""
     reader = spark.readStream.format(file_format)
     if schema is not None:
         reader = reader.schema(schema)
-    if max_files is not None:
-        reader = reader.option("maxFilesPerTrigger", max_files)
-    return reader.load(path)
+    return reader.option("maxFilesPerTrigger", max_files).load(path)

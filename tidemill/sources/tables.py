@@ -16,21 +16,21 @@ def jdbc_options(
     connection: Mapping[str, str],
     query: str,
     *,
+    partitions: int,
     partition_column: str | None = None,
     bounds: tuple[int, int] | None = None,
-    partitions: int = 1,
     fetch_size: int = 10_000,
 ) -> dict[str, str]:
     """Reader options for a query, run as ``partitions`` ranges of ``partition_column``.
 
     The query goes in as a derived table because Spark does not partition a ``query``.
-    ``bounds`` only place the ranges; rows outside them are read by the outer ranges.
+    One partition reads the whole query in one task. ``bounds`` only place the ranges; rows outside them are read by the outer ranges.
     """
     options = {**connection, "dbtable": f"({query.strip().rstrip(';')}) source_rows", "fetchsize": str(fetch_size)}
-    if partition_column is None:
+    if partitions == 1 and partition_column is None:
         return options
-    if bounds is None or partitions < 2:
-        raise ValueError("a partitioned read needs bounds and at least two partitions")
+    if partition_column is None or bounds is None or partitions < 2:
+        raise ValueError("a partitioned read needs a column, bounds and at least two partitions")
     return {
         **options,
         "partitionColumn": partition_column,
