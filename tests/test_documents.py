@@ -7,7 +7,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from tidemill.operators.groups import split_large_groups
+from tidemill.operators.parts import in_parts
 from tidemill.plans import documents
 from tidemill.sinks.files import write_documents
 from tidemill.sources.files import read_json_doc
@@ -51,10 +51,13 @@ def test_oversized_aircraft_keeps_every_seat(spark, aircraft):
     )
     few = many.limit(3).withColumn("aircraft_code", F.lit("B2"))
     result = documents.aircraft_seat_document(aircraft, many.union(few), part_size=50).collect()
-    big = [row for row in result if row.aircraft_code == "A1"]
-    seats = [seat for row in big for seat in (row.economy_seats or []) + (row.business_seats or [])]
-    assert sorted(seats, key=int) == [str(n) for n in range(500)]
-    assert len(big) == 20 and {row.parts for row in big} == {20}
+    big = sorted((row for row in result if row.aircraft_code == "A1"), key=lambda row: row.part)
+    numbers = sorted(map(str, range(500)))
+    assert [row.part for row in big] == list(range(10)) and {row.parts for row in big} == {10}
+    for name, rest in (("economy_seats", 0), ("business_seats", 1)):
+        found = [seat for row in big for seat in getattr(row, name) or []]
+        assert found == [n for n in numbers if int(n) % 2 == rest], "the parts in order are the array"
+    assert {sum(len(getattr(row, f"{c}_seats") or []) for c in ("economy", "business")) for row in big} == {50}
     assert [(row.part, row.parts) for row in result if row.aircraft_code == "B2"] == [(0, 1)]
 
 
@@ -95,7 +98,7 @@ def test_flight_objects(aircraft, seats, flights, airports):
     )
     result = {row.flight_id: row for row in built.collect()}
     assert set(result) == {1, 2}, "no seats for C3, no airport Q"
-    assert result[1].aircraft.economy_seats == ["1B", "2A"] and result[1].aircraft_parts == 1
+    assert result[1].aircraft.economy_seats == ["1B", "2A"] and (result[1].part, result[1].parts) == (0, 1)
     assert result[1].departure_airport.asDict() == {
         "airport_code": "X",
         "airport_name": "Ex",
@@ -108,7 +111,7 @@ def test_flight_objects(aircraft, seats, flights, airports):
     assert result[2].flight_time.actual_departure is None and "actual_duration" in result[2].flight_time
 
 
-def test_flights_of_an_oversized_aircraft_refer_to_its_parts(spark, aircraft, flights, airports):
+def test_flights_hold_every_part_of_their_aircraft(spark, aircraft, flights, airports):
     many = spark.range(300).select(
         F.lit("A1").alias("aircraft_code"),
         F.col("id").cast("string").alias("seat_no"),
@@ -116,10 +119,10 @@ def test_flights_of_an_oversized_aircraft_refer_to_its_parts(spark, aircraft, fl
     )
     crafts = documents.aircraft_seat_document(aircraft, many, part_size=30)
     result = documents.flight_document(flights, crafts, airports).collect()
-    assert sorted(row.flight_id for row in result) == [1, 2]
-    assert {(row.aircraft_parts, row.aircraft.model, row.aircraft.economy_seats) for row in result} == {
-        (20, "alpha", None)
-    }
+    for flight in (1, 2):
+        parts = sorted((row for row in result if row.flight_id == flight), key=lambda row: row.part)
+        assert [(row.part, row.parts) for row in parts] == [(n, 10) for n in range(10)]
+        assert [seat for row in parts for seat in row.aircraft.economy_seats] == sorted(map(str, range(300)))
 
 
 @pytest.fixture(scope="module")
@@ -166,14 +169,17 @@ def test_oversized_booking_keeps_every_element(spark):
     result = documents.booking_document(bookings, tickets, legs, passes, part_size=40).collect()
     found = [t.ticket_no for row in result if row.book_ref == "b1" for t in row.tickets]
     assert sorted(found) == list(range(390))
-    assert max(len(row.tickets) for row in result) <= 40
+    big = sorted((row for row in result if row.book_ref == "b1"), key=lambda row: row.part)
+    assert [t.ticket_no for row in big for t in row.tickets] == list(range(390))
+    assert [len(row.tickets) for row in big] == [40] * 9 + [30]
     assert [(row.part, row.parts, len(row.tickets)) for row in result if row.book_ref == "b2"] == [(0, 1, 10)]
 
 
-def test_null_keys_can_be_oversized_too(spark):
+def test_null_keys_have_parts_too(spark):
     rows = spark.range(100).select(F.lit(None).cast("string").alias("k"), "id")
-    placed = split_large_groups(rows, ["k"], ["id"], part_size=10)
-    assert placed.count() == 100 and placed.select("part").distinct().count() > 10
+    placed, parts = in_parts(rows, ["k"], ["id"], part_size=10)
+    assert all(row.part == row.id // 10 for row in placed.collect()) and placed.count() == 100
+    assert [tuple(row) for row in parts.collect()] == [(None, 10)]
 
 
 def test_collection_keeps_null_fields(aircraft, seats, folder, spark):

@@ -7,7 +7,8 @@ from contextlib import contextmanager
 import pytest
 from pyspark.sql import functions as F
 
-from tidemill.operators.groups import join_splittable, partition_average, split_large_groups
+from tidemill.operators.groups import join_splittable, partition_average
+from tidemill.operators.parts import in_parts
 from tidemill.plans import orders
 
 SMALL_SCALE = {
@@ -75,15 +76,10 @@ def test_reports_split_the_hot_order_and_agree(spark, skewed, report):
         assert sorted(map(tuple, df.collect())) == expected
 
 
-def test_large_groups_are_spread_evenly(spark, skewed):
+def test_large_groups_are_cut_in_order(spark, skewed):
     rows = skewed.withColumn("item", F.monotonically_increasing_id())
-    parts = (
-        split_large_groups(rows, ["order_id"], ["item"], part_size=500)
-        .groupBy("order_id", "part", "parts")
-        .count()
-        .collect()
-    )
-    assert sum(row["count"] for row in parts) == 60000
-    assert max(row["count"] for row in parts) <= 500
-    assert {row.parts for row in parts if row.order_id != 7} == {1}
-    assert len([row for row in parts if row.order_id == 7]) >= 40
+    placed, _ = in_parts(rows, ["order_id"], ["item"], part_size=500)
+    sizes = placed.groupBy("order_id", "part").count().collect()
+    assert sum(row["count"] for row in sizes) == 60000
+    assert {row["count"] for row in sizes if row.order_id == 7 and row.part < 39} == {500}
+    assert {row.part for row in sizes if row.order_id != 7} == {0}

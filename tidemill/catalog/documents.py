@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, StructType
 
 from tidemill.catalog.tables import money, table
 from tidemill.functions.casts import TIME_PATTERN
@@ -172,6 +173,15 @@ def booking_document(spark: SparkSession, folder: str) -> DataFrame:
     return built.withColumn("tickets", F.to_json("tickets", JSON_TEXT))
 
 
+SMALL_PART = 3
+
+
+def booking_parts(spark: SparkSession, folder: str) -> DataFrame:
+    """Booking documents of so few tickets that most bookings have several."""
+    built = documents.booking_document(**_booking_tables(spark, folder), part_size=SMALL_PART)
+    return built.withColumn("tickets", F.to_json("tickets", JSON_TEXT))
+
+
 def document_collection(spark: SparkSession, folder: str) -> DataFrame:
     """The bookings written as a collection, read back and unrolled to one row per element."""
     built = documents.booking_document(**_booking_tables(spark, folder))
@@ -180,12 +190,18 @@ def document_collection(spark: SparkSession, folder: str) -> DataFrame:
     elements = read_json_doc(spark, path, schema=built.schema, one_per_line=True).select(
         "book_ref", F.explode("tickets").alias("ticket")
     )
-    return elements.select("book_ref", "ticket.ticket_no", "ticket.flight_id", "ticket.amount", "ticket.seat_no")
+    return elements.select("book_ref", "ticket.*")
 
 
 def document_collections(spark: SparkSession, folder: str) -> DataFrame:
-    """All three collections written as JSON; the key of every document read back."""
+    """All three collections written as JSON, and every document read back whole as text."""
     root = new_path(spark, "collections")
+    schemas = {}
+
+    def write(built: DataFrame, name: str) -> None:
+        schemas[name] = built.schema
+        write_documents(built, f"{root}/{name}")
+
     documents.write_collections(
         {
             "aircraft": _parts(spark, folder),
@@ -194,19 +210,46 @@ def document_collections(spark: SparkSession, folder: str) -> DataFrame:
             "airports": _airports(spark, folder),
             **_booking_tables(spark, folder),
         },
-        lambda built, name: write_documents(built, f"{root}/{name}"),
+        write,
         classes=FLAG_CLASSES,
     )
     keys = {"aircrafts": "aircraft_code", "flights": "flight_id", "bookings": "book_ref"}
-    found = [
-        read_json_doc(spark, f"{root}/{name}", schema=f"{key} bigint", one_per_line=True).select(
-            F.lit(name).alias("collection"), F.col(key).alias("document_key")
+    found = []
+    for name, key in keys.items():
+        read = read_json_doc(spark, f"{root}/{name}", schema=schemas[name], one_per_line=True)
+        found.append(
+            read.select(
+                F.lit(name).alias("collection"),
+                F.col(key).alias("document_key"),
+                "part",
+                "parts",
+                (F.col("total_amount") if name == "bookings" else F.lit(None).cast("double")).alias("total_amount"),
+                F.concat_ws("|", *[_text(read, field) for field in BODIES[name]]).alias("body"),
+            )
         )
-        for name, key in keys.items()
-    ]
     return found[0].union(found[1]).union(found[2])
 
 
+# The fields of a document beside its key, as the comparison puts them together.
+BODIES = {
+    "aircrafts": ("model", "range", *FLAG_CLASSES),
+    "flights": ("flight_no", "aircraft", "departure_airport", "arrival_airport", "flight_time", "status"),
+    "bookings": ("book_date", "tickets"),
+}
+
+
+def _text(read: DataFrame, field: str) -> Column:
+    """A field as text; what is missing is marked."""
+    kind = read.schema[field].dataType
+    if field in FLAG_CLASSES:
+        text = F.array_join(field, ",")
+    elif isinstance(kind, (StructType, ArrayType)):
+        text = F.to_json(field, JSON_TEXT)
+    else:
+        text = F.col(field).cast("string")
+    return F.coalesce(text, F.lit("-"))
+
+
 def json_documents(spark: SparkSession, folder: str) -> DataFrame:
     """Texts as nested documents of their lines, read back and unrolled to one row per line."""
     nested = table(spark, folder, "documents").select(
@@ -223,6 +266,7 @@ QUERIES = {
     "aircraft_seat_document": aircraft_seat_document,
     "flight_document": flight_document,
     "booking_document": booking_document,
+    "booking_parts": booking_parts,
     "document_collection": document_collection,
     "document_collections": document_collections,
     "json_documents": json_documents,
@@ -245,19 +289,48 @@ _TICKETS = """
     ) b ON b.ticket_no = t.ticket_no AND b.flight_id = t.flight_id
 """
 
-SQL = {
-    "aircraft_seat_document": """
-        SELECT o_orderkey AS aircraft_code, o_orderpriority AS model, o_custkey AS range, 0 AS part, 1 AS parts,
-               STRING_AGG(seat, ',' ORDER BY seat) FILTER (WHERE flag = 'A') AS economy_seats,
-               STRING_AGG(seat, ',' ORDER BY seat) FILTER (WHERE flag = 'N') AS business_seats,
-               STRING_AGG(seat, ',' ORDER BY seat) FILTER (WHERE flag = 'R') AS comfort_seats
-        FROM orders JOIN (
-            SELECT DISTINCT l_orderkey, CAST(l_linenumber AS VARCHAR) AS seat, l_returnflag AS flag
+
+def _aircraft(table_name: str, key: str, model: str, size: str, seat_key: str) -> str:
+    """Aircraft documents of one part each, the seat arrays joined by commas."""
+    arrays = ", ".join(
+        f"STRING_AGG(seat, ',' ORDER BY seat) FILTER (WHERE flag = '{flag}') AS {name}"
+        for name, flag in FLAG_CLASSES.items()
+    )
+    return f"""
+        SELECT {key} AS aircraft_code, {model} AS model, {size} AS range, 0 AS part, 1 AS parts, {arrays}
+        FROM {table_name} JOIN (
+            SELECT DISTINCT {seat_key} AS seat_key, CAST(l_linenumber AS VARCHAR) AS seat, l_returnflag AS flag
             FROM lineitem
-        ) ON l_orderkey = o_orderkey
-        GROUP BY o_orderkey, o_orderpriority, o_custkey
-    """,
-    "flight_document": """
+        ) ON seat_key = {key}
+        GROUP BY {key}, {model}, {size}
+    """
+
+
+def _bookings(part_size: int) -> str:
+    """Booking documents of ``part_size`` tickets in order."""
+    return f"""
+        SELECT book_ref, part, parts, book_date, total_amount,
+               CAST(to_json(LIST(json_object('ticket_no', ticket_no, 'flight_id', flight_id,
+                    'passenger_id', passenger_id, 'passenger_name', passenger_name,
+                    'contact_data', contact_data, 'fare_conditions', fare_conditions,
+                    'amount', amount, 'seat_no', seat_no) ORDER BY ticket_no, flight_id))
+                    AS VARCHAR) AS tickets
+        FROM (
+            SELECT t.*, c_mktsegment AS book_date, c_acctbal AS total_amount,
+                   CAST((row_number() OVER (PARTITION BY book_ref ORDER BY ticket_no, flight_id) - 1)
+                        // {part_size} AS INTEGER) AS part,
+                   CAST((COUNT(*) OVER (PARTITION BY book_ref) - 1) // {part_size} + 1 AS INTEGER) AS parts
+            FROM customer JOIN ({_TICKETS}) t ON c_custkey = book_ref
+        )
+        GROUP BY book_ref, part, parts, book_date, total_amount
+    """
+
+
+def _body(name: str) -> str:
+    return "concat_ws('|', " + ", ".join(f"COALESCE(CAST({field} AS VARCHAR), '-')" for field in BODIES[name]) + ")"
+
+
+_FLIGHTS = """
         WITH seats AS (
             SELECT DISTINCT l_partkey, CAST(l_linenumber AS VARCHAR) AS seat, l_returnflag AS flag
             FROM lineitem
@@ -279,7 +352,7 @@ SQL = {
             JOIN customer ON o_custkey = c_custkey
             JOIN supplier ON l_suppkey = s_suppkey
         )
-        SELECT f.l_orderkey AS flight_id, 1 AS aircraft_parts, CAST(f.l_linenumber AS VARCHAR) AS flight_no,
+        SELECT f.l_orderkey AS flight_id, 0 AS part, 1 AS parts, CAST(f.l_linenumber AS VARCHAR) AS flight_no,
                CAST(json_object('aircraft_code', a.p_partkey, 'model', a.p_name, 'range', a.p_size,
                     'economy_seats', a.economy_seats, 'business_seats', a.business_seats,
                     'comfort_seats', a.comfort_seats) AS VARCHAR) AS aircraft,
@@ -307,35 +380,24 @@ SQL = {
         JOIN aircraft a ON f.l_partkey = a.p_partkey
         JOIN airports d ON s_nationkey = d.n_nationkey
         JOIN airports r ON c_nationkey = r.n_nationkey
-    """,
-    "booking_document": f"""
-        SELECT c_custkey AS book_ref, 0 AS part, 1 AS parts, c_mktsegment AS book_date,
-               c_acctbal AS total_amount,
-               CAST(to_json(LIST(json_object('ticket_no', ticket_no, 'flight_id', flight_id,
-                    'passenger_id', passenger_id, 'passenger_name', passenger_name,
-                    'contact_data', contact_data, 'fare_conditions', fare_conditions,
-                    'amount', amount, 'seat_no', seat_no) ORDER BY ticket_no, flight_id))
-                    AS VARCHAR) AS tickets
-        FROM customer JOIN ({_TICKETS}) ON c_custkey = book_ref
-        GROUP BY c_custkey, c_mktsegment, c_acctbal
-    """,
+"""
+
+SQL = {
+    "aircraft_seat_document": _aircraft("orders", "o_orderkey", "o_orderpriority", "o_custkey", "l_orderkey"),
+    "flight_document": _FLIGHTS,
+    "booking_document": _bookings(10_000),
+    "booking_parts": _bookings(SMALL_PART),
     "document_collection": f"""
-        SELECT book_ref, ticket_no, flight_id, amount, seat_no
-        FROM customer JOIN ({_TICKETS}) ON c_custkey = book_ref
+        SELECT t.* FROM customer JOIN ({_TICKETS}) t ON c_custkey = book_ref
     """,
-    "document_collections": """
-        SELECT 'aircrafts' AS collection, p_partkey AS document_key
-        FROM part WHERE p_partkey IN (SELECT l_partkey FROM lineitem)
+    "document_collections": f"""
+        SELECT 'aircrafts' AS collection, aircraft_code AS document_key, part, parts,
+               CAST(NULL AS DOUBLE) AS total_amount, {_body("aircrafts")} AS body
+        FROM ({_aircraft("part", "p_partkey", "p_name", "p_size", "l_partkey")})
         UNION ALL
-        SELECT 'flights', l_orderkey
-        FROM lineitem
-        JOIN orders ON l_orderkey = o_orderkey
-        JOIN customer ON o_custkey = c_custkey
-        JOIN supplier ON l_suppkey = s_suppkey
-        JOIN part ON l_partkey = p_partkey
+        SELECT 'flights', flight_id, part, parts, NULL, {_body("flights")} FROM ({_FLIGHTS})
         UNION ALL
-        SELECT DISTINCT 'bookings', c_custkey
-        FROM customer JOIN orders ON o_custkey = c_custkey JOIN lineitem ON l_orderkey = o_orderkey
+        SELECT 'bookings', book_ref, part, parts, total_amount, {_body("bookings")} FROM ({_bookings(10_000)})
     """,
     "json_documents": """
         SELECT doc_id, lang, CAST(place - 1 AS INTEGER) AS line_no, line

@@ -7,11 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemill.scratch import write_table
-
-# Elements one document holds before it is continued in further parts.
-PART_SIZE = 10_000
-
 
 def average(column: str | Column) -> Column:
     """Mean of the non-NULL values as double: exact decimal sum divided by their number."""
@@ -62,32 +57,3 @@ def partition_average(
     """Average of ``value`` over each partition on every row, without a window."""
     summary = df.groupBy(*partition_by).agg(average(value).alias(name))
     return join_splittable(df, summary, partition_by, null_safe=True)
-
-
-def split_large_groups(
-    rows: DataFrame,
-    keys: Sequence[str],
-    element: Sequence[str],
-    part_size: int = PART_SIZE,
-    sizes: DataFrame | None = None,
-) -> DataFrame:
-    """Add ``part`` and ``parts``: 0 of 1, except in groups of more than ``part_size`` rows,
-    which are spread over several parts so that no task has to hold one of them whole.
-
-    A row's part depends only on its ``element`` columns, which should identify it within
-    the group. ``sizes`` (keys and ``group_rows``) may be given where it is cheaper to get
-    than by counting ``rows``.
-    """
-    if sizes is None:
-        sizes = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("group_rows"))
-    large = write_table(
-        sizes.where(F.col("group_rows") > part_size).select(
-            *keys, F.ceil(2 * F.col("group_rows") / F.lit(part_size)).cast("int").alias("parts")
-        ),
-        "large-groups",
-    )
-    if large.isEmpty():
-        return rows.withColumns({"part": F.lit(0), "parts": F.lit(1)})
-    parts = F.coalesce("parts", F.lit(1))
-    part = F.when(parts == 1, F.lit(0)).otherwise(F.pmod(F.xxhash64(*element), parts).cast("int"))
-    return join_splittable(rows, large, keys, "left", null_safe=True).withColumns({"part": part, "parts": parts})

@@ -7,7 +7,7 @@ from collections.abc import Callable, Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemill.operators.groups import PART_SIZE, split_large_groups
+from tidemill.operators.parts import PART_SIZE, in_parts, owners_of_parts
 from tidemill.scratch import write_table
 
 # The array of each fare class in an aircraft document.
@@ -56,19 +56,20 @@ def aircraft_seat_document(
 ) -> DataFrame:
     """Each aircraft having seats, with one array of seat numbers per fare class.
 
-    ``aircraft_code`` identifies an aircraft, ``seat_no`` a seat of it. An aircraft with
-    more than ``part_size`` seats takes several documents, ``part`` of ``parts``.
+    ``aircraft_code`` identifies an aircraft, ``seat_no`` a seat of it. A document holds
+    ``part_size`` seats: ``part``, from 0, of ``parts``, in order of the seats. Runs jobs.
     """
-    placed = split_large_groups(seats, ["aircraft_code"], ["seat_no", "fare_conditions"], part_size)
-    arrays = placed.groupBy("aircraft_code", "part", "parts").agg(
+    placed, parts = in_parts(seats, ["aircraft_code"], ["seat_no", "fare_conditions"], part_size)
+    owners = owners_of_parts(aircraft.select("aircraft_code", "model", "range"), parts, ["aircraft_code"])
+    # Seats meet their aircraft where they are grouped: one shuffle, by document.
+    return placed.join(owners, ["aircraft_code", "part"]).groupBy(
+        "aircraft_code", "model", "range", "part", "parts"
+    ).agg(
         *[
             values_where("seat_no", F.col("fare_conditions") == fare).alias(name)
             for name, fare in classes.items()
         ]
     )
-    return aircraft.join(arrays, "aircraft_code").select(
-        "aircraft_code", "model", "range", "part", "parts", *classes
-    )
 
 
 def _airport(role: str) -> Column:
@@ -92,20 +93,10 @@ def flight_document(
 
     ``aircraft_documents`` is what ``aircraft_seat_document`` returns, preferably written
     and read back: joined as a plain table, a hot aircraft's flights can be split by
-    adaptive execution. An aircraft in several parts is not repeated inside every one of
-    its flights: those have NULL seat arrays, and ``aircraft_parts`` tells how many aircraft
-    documents of that code hold them.
+    adaptive execution. A flight has a document for each part of its aircraft.
     """
-    whole = aircraft_documents.where(F.col("parts") == 1).drop("part")
-    by_reference = (
-        aircraft_documents.where(F.col("parts") > 1)
-        .select("aircraft_code", "model", "range", "parts")
-        .distinct()
-    )
     aircraft = F.struct("aircraft_code", "model", "range", *classes)
-    lookup = whole.unionByName(by_reference, allowMissingColumns=True).select(
-        "aircraft_code", F.col("parts").alias("aircraft_parts"), aircraft.alias("aircraft")
-    )
+    lookup = aircraft_documents.select("aircraft_code", "part", "parts", aircraft.alias("aircraft"))
     joined = flights.join(lookup, "aircraft_code")
     for role in ("departure_airport", "arrival_airport"):
         lookup = airports.select(
@@ -116,7 +107,8 @@ def flight_document(
     return joined.select(
         "flight_id",
         "flight_no",
-        "aircraft_parts",
+        "part",
+        "parts",
         "aircraft",
         _airport("departure_airport"),
         _airport("arrival_airport"),
@@ -135,29 +127,21 @@ def booking_document(
 ) -> DataFrame:
     """Each booking with an array of its tickets' flights, boarded or not.
 
-    ``book_ref`` identifies a booking, (``ticket_no``, ``flight_id``) an array element. A
-    booking with more than ``part_size`` elements takes several documents, ``part`` of
-    ``parts``; its size comes from the two key columns alone.
+    ``book_ref`` identifies a booking, (``ticket_no``, ``flight_id``) an array element. A document
+    holds ``part_size`` elements: ``part``, from 0, of ``parts``, in order of the elements. Runs jobs.
     """
-    sizes = (
-        ticket_flights.groupBy("ticket_no")
-        .agg(F.count(F.lit(1)).alias("flights"))
-        .join(tickets.select("ticket_no", "book_ref"), "ticket_no")
-        .groupBy("book_ref")
-        .agg(F.sum("flights").alias("group_rows"))
-    )
     elements = ticket_flights.join(boarding_passes, ["ticket_no", "flight_id"], "left").join(
         tickets, "ticket_no"
     )
-    placed = split_large_groups(
-        elements, ["book_ref"], ["ticket_no", "flight_id"], part_size, sizes=sizes
-    )
-    arrays = placed.groupBy("book_ref", "part", "parts").agg(
-        F.sort_array(F.collect_list(F.struct(*TICKET_FIELDS))).alias("tickets")
-    )
-    return bookings.join(arrays, "book_ref").select(
-        "book_ref", "part", "parts", "book_date", "total_amount", "tickets"
+    # Written, as it is read for the places of its rows and for the rows.
+    elements = write_table(elements.select("book_ref", *TICKET_FIELDS), "ticket-elements")
+    placed, parts = in_parts(elements, ["book_ref"], ["ticket_no", "flight_id"], part_size)
+    owners = owners_of_parts(bookings.select("book_ref", "book_date", "total_amount"), parts, ["book_ref"])
+    # Elements meet their booking where they are grouped: one shuffle, by document.
+    grouped = placed.join(owners, ["book_ref", "part"]).groupBy(
+        "book_ref", "part", "parts", "book_date", "total_amount"
     )
+    return grouped.agg(F.sort_array(F.collect_list(F.struct(*TICKET_FIELDS))).alias("tickets"))
 
 
 def written_documents(documents: DataFrame) -> DataFrame:
