@@ -20,7 +20,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -33,6 +33,11 @@ from tidemill.scratch import write_table
 BANDS, BAND_ROWS = 32, 5
 # A prime of at least BANDS * BAND_ROWS.
 COMPONENTS = 163
+# Numbers of 32 components a sketch takes.
+SKETCH = BANDS * BAND_ROWS // 32
+# Of the components' last two bits, a pair at 0.8 has 24 of 160 different, with a deviation of
+# at most 4.5; pairs with more than this many are not fetched for comparison.
+DIFFERENT = 50
 _EMPTY = np.uint32(0xFFFFFFFF)
 
 
@@ -91,7 +96,15 @@ def _band_keys(signature: np.ndarray) -> np.ndarray:
     return key.astype(np.int64)
 
 
-_SIGNED = "id long, n_shingles long, mark_a long, mark_b long, bands array<long>"
+def _sketch(signature: np.ndarray) -> np.ndarray:
+    """Two bits of each banded component, 32 components to a number."""
+    lanes = (signature[:, : BANDS * BAND_ROWS] & 3).astype(np.uint64).reshape(len(signature), SKETCH, 32)
+    return (lanes << (2 * np.arange(32, dtype=np.uint64))).sum(2, dtype=np.uint64).astype(np.int64)
+
+
+_SIGNED = "id long, n_shingles long, mark_a long, mark_b long, bands array<long>, " + ", ".join(
+    f"sketch_{k} long" for k in range(SKETCH)
+)
 
 
 def _signed(size: int):
@@ -105,13 +118,17 @@ def _signed(size: int):
                     sums = np.zeros(len(elements) + 1, np.uint64)
                     np.cumsum(ragged.mix(elements ^ np.uint64(salt)), out=sums[1:])
                     marks.append((sums[first[1:]] - sums[first[:-1]]).astype(np.int64))
-                keys = _band_keys(signatures(elements, first))
+                signature = signatures(elements, first)
+                keys = _band_keys(signature)
                 keys = pa.ListArray.from_arrays(
                     pa.array(np.arange(len(count) + 1, dtype=np.int32) * BANDS), pa.array(keys.ravel())
                 )
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("id"), pa.array(count), pa.array(marks[0]), pa.array(marks[1]), keys],
-                    ["id", "n_shingles", "mark_a", "mark_b", "bands"],
+                    [
+                        part.column("id"), pa.array(count), pa.array(marks[0]), pa.array(marks[1]), keys,
+                        *[pa.array(column) for column in np.ascontiguousarray(_sketch(signature).T)],
+                    ],
+                    ["id", "n_shingles", "mark_a", "mark_b", "bands", *[f"sketch_{k}" for k in range(SKETCH)]],
                 )
 
     return run
@@ -143,6 +160,19 @@ def _alike(size: int, percent: int):
     return run
 
 
+def _sketches() -> list[str]:
+    return [f"sketch_{k}" for k in range(SKETCH)]
+
+
+def _different(left: str, right: str) -> Column:
+    """Number of components whose last bits differ, of two sketches by the prefixes of their columns."""
+    total = F.lit(0)
+    for name in _sketches():
+        bits = F.col(left + name).bitwiseXOR(F.col(right + name))
+        total = total + F.bit_count(bits.bitwiseOR(F.shiftright(bits, 1)).bitwiseAND(F.lit(0x5555555555555555)))
+    return total
+
+
 def _confirmed(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
     """Those of the (a, b) whose full shingle sets are similar enough; ``texts``: id, text."""
     left = texts.select(F.col("id").alias("a"), F.col("text").alias("text_a"))
@@ -155,7 +185,7 @@ def _open_buckets(members: DataFrame, groups: DataFrame) -> DataFrame:
     """Members (key, id, component, top) of the buckets that hold several groups; ``top`` is the largest."""
     named = groups.select(F.col("id").alias("known"), "component")
     placed = members.join(named, members["id"] == named["known"], "left").select(
-        "key", "id", F.coalesce("component", "id").alias("component")
+        "key", "id", F.coalesce("component", "id").alias("component"), *_sketches()
     )
     sizes = placed.groupBy("key", "component").agg(F.count("*").alias("size"))
     largest = (
@@ -177,8 +207,12 @@ def _next_pairs(open_: DataFrame, centres: int) -> tuple[DataFrame, DataFrame]:
     outside = open_.where(F.col("component") != F.col("top")).withColumn(
         "turn", F.row_number().over(Window.partitionBy("key").orderBy(F.xxhash64("id", "key"), "id"))
     )
-    centre = outside.where(F.col("turn") <= centres).select("key", F.col("id").alias("centre"), F.col("component").alias("own"))
-    pairs = open_.join(centre, "key").where(F.col("component") != F.col("own"))
+    centre = outside.where(F.col("turn") <= centres).select(
+        F.col("key").alias("at"), F.col("id").alias("centre"), F.col("component").alias("own"),
+        *[F.col(name).alias(f"own_{name}") for name in _sketches()],
+    )
+    near = (open_["key"] == centre["at"]) & (F.col("component") != F.col("own")) & (_different("", "own_") <= DIFFERENT)
+    pairs = open_.join(centre, near)
     pairs = pairs.select(F.least("centre", "id").alias("a"), F.greatest("centre", "id").alias("b")).distinct()
     return pairs, outside.where(F.col("turn") > centres)
 
@@ -221,12 +255,17 @@ def _groups(plain: DataFrame, signed: DataFrame, size: int, percent: int) -> Dat
     one_each = filled.join(classes.select(F.col("rep").alias("id"), *marks), ["id", *marks])
     exploded = one_each.select("id", F.explode("bands").alias("key"))
     shared = exploded.groupBy("key").agg(F.min("id").alias("centre"), F.max("id").alias("last")).where("centre < last")
-    members = write_table(join_splittable(exploded, shared, ["key"]).select("key", "id", "centre"), "buckets")
-    compared = members.where("id > centre").select(F.col("centre").alias("a"), F.col("id").alias("b")).distinct()
-    compared = write_table(compared, "pairs")
-    texts = plain.join(members.select("id").distinct(), "id", "left_semi")
+    shared = join_splittable(exploded, shared, ["key"]).select("key", "id", "centre")
+    sketches = one_each.select(F.col("id").alias("known"), *_sketches())
+    members = shared.join(sketches, F.col("id") == F.col("known")).drop("known")
+    members = write_table(members, "buckets")
+    compared = members.where("id > centre").select(F.col("centre").alias("a"), "id", *_sketches()).distinct()
+    first = sketches.select("known", *[F.col(name).alias(f"own_{name}") for name in _sketches()])
+    compared = compared.join(first, (F.col("a") == F.col("known")) & (_different("", "own_") <= DIFFERENT))
+    compared = write_table(compared.select("a", F.col("id").alias("b")).distinct(), "pairs")
+    texts = plain.join(compared.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "id", "left_semi")
     groups = components(copies.unionByName(_confirmed(compared, texts, size, percent)))
-    members, centres = members.select("key", "id"), 4
+    members, centres = members.drop("centre"), 64
     while True:
         open_ = write_table(_open_buckets(members, groups), "open-buckets")
         if open_.isEmpty():
@@ -238,6 +277,7 @@ def _groups(plain: DataFrame, signed: DataFrame, size: int, percent: int) -> Dat
                 return groups
         else:
             known = groups.select(F.col("id").alias("a"), F.col("component").alias("b"))
+            texts = plain.join(further.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "id", "left_semi")
             groups = components(known.unionByName(_confirmed(further, texts, size, percent)))
             compared = compared.unionByName(further)
-        centres *= 4
+        centres *= 64
