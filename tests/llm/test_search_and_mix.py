@@ -1,0 +1,185 @@
+"""Nearest neighbours, mixing and the pipeline; what is registered."""
+
+from __future__ import annotations
+
+import os
+import random
+from collections import Counter
+
+import numpy as np
+import pytest
+from llm_texts import sentence
+from pyspark.sql import functions as F
+from test_duplicates import words
+
+import __spark_entry__ as entry_points
+import corpus_pipeline
+from compare import connect, same_rows
+from tidemill.llm import prefix_forest, queries, source_mix
+
+SMALL = "/root/testdata/sf0.001"
+VECTORS = "vec_id long, embedding array<float>, label int"
+
+
+def brute(rows, every, k):
+    """The k nearest of each query by cosine, ties to the smaller number."""
+    usable = {}
+    for n, v in rows:
+        if n is not None and v is not None and all(x is not None and np.isfinite(x) for x in v) and any(v):
+            usable.setdefault(n, []).append(np.array(v, np.float64))
+    found = {}
+    for q, vectors in usable.items():
+        if q % every == 0:
+            best = {}
+            for n, others in usable.items():
+                for a in vectors:
+                    for b in others:
+                        if n != q and len(a) == len(b):
+                            best[n] = max(best.get(n, -2), float(a @ b / np.sqrt((a @ a) * (b @ b))))
+            found[q] = sorted(((-round(s, 12), n) for n, s in best.items()))[:k]
+    return found
+
+
+def test_root_search_is_exact_on_odd_vectors(spark):
+    source = np.random.default_rng(1)
+    rows = [(n, source.normal(size=8).astype(np.float32).tolist()) for n in range(120)]
+    rows += [(200 + n, rows[0][1]) for n in range(30)] + [(300, [2 * x for x in rows[0][1]])]
+    rows += [rows[3], rows[3], (3, rows[4][1]), (None, rows[1][1]), (400, None), (450, [0.0] * 8), (500, [])]
+    rows += [(550, [1.0, None] * 4), (600, [float("nan")] * 8), (650, [float("inf")] * 8), (700, [1.0, 2.0]), (701, [2.0, 1.0])]
+    table = spark.createDataFrame([(*r, 1) for r in rows], VECTORS).withColumn("rank", F.lit("mine"))
+    found = {}
+    for r in sorted(prefix_forest.nearest(table, every=50).collect(), key=lambda r: (r.query_id, r.rank)):
+        found.setdefault(r.query_id, []).append((-round(r.score, 12), r.vec_id))
+    assert found == brute([(n, np.float32(v).tolist() if v and None not in v else v) for n, v in rows], 50, 5)
+    assert found[0][:3] == [(-1.0, 200), (-1.0, 201), (-1.0, 202)] and len(found[700]) == 1
+    assert prefix_forest.nearest(table.where("vec_id < 0")).count() == 0
+
+
+def test_recall_of_prefixes(spark):
+    source = np.random.default_rng(2)
+    centres = source.normal(size=(10, 64))
+    vectors = centres[source.integers(0, 10, 6000)] * 0.5 + source.normal(size=(6000, 64))
+    rows = [(n, v.astype(np.float32).tolist(), 0) for n, v in enumerate(vectors)]
+    table = spark.createDataFrame(rows, VECTORS)
+    found = {}
+    for r in prefix_forest.nearest(table, every=100).collect():
+        found.setdefault(r.query_id, set()).add(r.vec_id)
+    unit = np.array([r[1] for r in rows], np.float64)
+    unit /= np.linalg.norm(unit, axis=1, keepdims=True)
+    hits = []
+    for q, own in found.items():
+        close = unit @ unit[q]
+        close[q] = -2
+        hits.append(len(own & set(np.argsort(-close)[:5].tolist())) / 5)
+    assert len(found) == 60 and np.mean(hits) >= 0.9
+
+
+def test_targets_fill_up_to_the_limit():
+    found = source_mix.targets([100, 1000, 10, 0], [5, 2, 1, 5])
+    assert found[0] == 200 and found[2] == 20 and found[3] == 0 and abs(sum(found) - 1665) < 1e-9
+    assert source_mix.targets([], []) == [] and source_mix.targets([0], [1.0]) == [0]
+
+
+def test_the_tree_deals_every_block_once():
+    quotas = [1000, 37, 0, 5 * 10**10]
+    counts = source_mix.deal(quotas, 12, seed=3)
+    assert counts.sum(0).tolist() == quotas and counts.min() >= 0
+    assert counts.sum(1).max() - counts.sum(1).min() <= 12
+    assert (counts == source_mix.deal(quotas, 12, seed=3)).all()
+    small = np.array([source_mix.deal([30, 70], 2, seed=s)[0, 0] for s in range(800)])
+    assert abs(small.mean() - 15) < 0.4 and abs(small.var() - 50 * 0.3 * 0.7 * 50 / 99) < 1.2, "hypergeometric"
+
+
+@pytest.mark.parametrize("size", [1, 2, 3, 17, 64, 1000])
+def test_permutations_are_permutations(size):
+    first = source_mix.permuted(np.arange(size), size, 1)
+    assert sorted(first) == list(range(size))
+    assert size < 17 or (first != source_mix.permuted(np.arange(size), size, 2)).any()
+
+
+@pytest.fixture(scope="module")
+def mixed_rows():
+    source = random.Random(4)
+    rows = [(n, sentence(source, source.randint(0, 200)), "en", source.choice(["a", "b", "c", "d", None]), 0) for n in range(400)]
+    return rows + [(1000, sentence(source, 3000), "en", "e", 0), (1001, None, None, "f", None), (5, rows[5][1], "en", rows[5][3], 0)]
+
+
+def test_mix_takes_disjoint_blocks_near_the_targets(frame, mixed_rows):
+    documents = frame(mixed_rows)
+    found = source_mix.mix(documents, shards=8).collect()
+    sizes = Counter()
+    for _, text, _, name, _ in mixed_rows:
+        sizes[name] += len(words(text))
+    order = sorted(sizes, key=lambda s: (s is None, s or ""))
+    aims = dict(zip(order, source_mix.targets([sizes[s] for s in order], [5, 2, 1] * 3), strict=True))
+    assert Counter((r.doc_id, r.source, r["size"]) for r in found) == Counter((n, s, len(words(t))) for n, t, _, s, _ in mixed_rows)
+    taken = Counter()
+    for r in found:
+        taken[r.source] += r.taken
+        assert (r.source_size, r.target) == (sizes[r.source], aims[r.source]) and r.taken <= 2 * r["size"]
+        assert r.taken == sum(b.words for b in r.blocks)
+        assert all(b.first_word + b.words <= r["size"] for b in r.blocks)
+        assert max(Counter(b.first_word for b in r.blocks).values(), default=0) <= 2
+    for name in order:
+        assert abs(taken[name] - aims[name]) <= 0.05 * aims[name] + source_mix.BLOCK_WORDS
+    slots = Counter((r.source, b.slot) for r in found for b in r.blocks)
+    assert set(slots.values()) == {1}
+    shards = Counter(b.shard for r in found for b in r.blocks)
+    assert len(shards) == 8 and max(shards.values()) - min(shards.values()) <= 8
+    key = lambda r: (r.doc_id or -1, r.source or "", r["size"], r.taken, str(r.blocks))
+    again = source_mix.mix(documents.repartition(5), shards=8).collect()
+    assert sorted(again, key=key) == sorted(found, key=key)
+
+
+def test_shards_hold_the_words_of_their_blocks(frame, mixed_rows):
+    documents = frame(mixed_rows)
+    blocks = {(r.source, b.slot): b for r in source_mix.mix(documents, shards=4).collect() for b in r.blocks}
+    texts = source_mix.shard_texts(documents, shards=4).collect()
+    assert len(texts) == len(blocks)
+    assert Counter((r.shard, len(r.text.split(" "))) for r in texts) == Counter((b.shard, b.words) for b in blocks.values())
+    known = {(n, " ".join(words(t))) for n, t, *_ in mixed_rows}
+    assert all(any(r.text in t for n, t in known if n == r.doc_id) for r in texts[:50])
+
+
+def test_mix_of_odd_rows(frame, odd_rows):
+    found = source_mix.mix(frame(odd_rows)).collect()
+    assert len(found) == len(odd_rows)
+    assert all(r.taken == 0 for r in found if r["size"] == 0)
+    assert source_mix.mix(frame([])).count() == 0
+    with pytest.raises(ValueError):
+        source_mix.mix(frame([(n, "a", "en", f"s{n}", 1) for n in range(5)]), shards=1_000_000)
+
+
+def test_every_operator_is_registered():
+    names = entry_points.queries()
+    for n in range(1, 11):
+        assert len([name for name in names if name.startswith(f"op{n}_")]) == 1
+    assert names.keys() >= {"pipeline"} and set(queries.SQL) <= set(entry_points.oracle_sql())
+
+
+@pytest.mark.parametrize("name", sorted(queries.SQL))
+def test_queries_equal_their_sql(spark, name):
+    assert same_rows(entry_points.queries()[name](spark, SMALL), queries.SQL[name], connect(SMALL)) > 0
+
+
+def test_pipeline_stages_take_effect(spark):
+    """Each stage on what the one before kept, against what its operator finds there."""
+    docs = spark.read.parquet(os.path.join(SMALL, "documents.parquet"))
+    columns = docs.columns
+    assert [name for name, _ in corpus_pipeline.STAGES] == ["quality", "line_dedup", "near_dedup", "decontamination", "mix"]
+    labels = {r.doc_id: r.quality for r in spark.read.parquet(os.path.join(SMALL, "labels.parquet")).collect()}
+    before = docs
+    for name, stage in corpus_pipeline.STAGES:
+        after = corpus_pipeline.write_table(stage(spark, before, SMALL), name)
+        ours, theirs = after.count(), before.count()
+        if name != "mix":
+            assert after.columns == columns and 0 < ours <= theirs
+        if name == "quality":
+            kept = {r.doc_id for r in after.collect()}
+            assert np.mean([(n in kept) == (q == 1) for n, q in labels.items()]) > 0.9
+        if name == "line_dedup":
+            lines = Counter(x for r in after.collect() for x in r.text.split("\n") if words(x))
+            assert max(lines.values()) == 1 and all(r.n_chars == len(r.text) for r in after.collect() if r.text)
+        before = after
+    assert before.columns == ["doc_id", "source", "size", "source_size", "target", "taken"]
+    assert Counter(map(tuple, corpus_pipeline.run(spark, SMALL).collect())) == Counter(map(tuple, before.collect()))
