@@ -102,6 +102,16 @@ def test_bad_rows_go_apart_over_several_batches(spark, folder, topic):
     assert not spark.sparkContext._jsc.getPersistentRDDs()
 
 
+def test_comments_arrive_in_the_types_of_the_serving_table(spark, folder):
+    path = folder + "-topic"
+    record = '{"comment_id":"c1","score":7.0,"ups":3,"created_time":"2024-01-05 10:11:12"}'
+    spark.createDataFrame([(bytearray(record.encode()),)], "value binary").write.parquet(path)
+    comments.stream_comments(stream(spark, path), folder_batches(folder), folder + "-c", available_now=True).awaitTermination()
+    written = spark.read.parquet(folder).drop("batch_id")
+    assert [(f.name, f.dataType) for f in written.schema] == [(f.name, f.dataType) for f in schemas.comments_serving()]
+    assert written.first().score == 7
+
+
 def test_interval_run_keeps_going_until_stopped(spark, folder, topic):
     query = comments.stream_comments(
         stream(spark, topic), folder_batches(folder), folder + "-c", SCHEMA, interval="1 second"

@@ -99,6 +99,19 @@ def csv_to_parquet_clean(spark: SparkSession, folder: str) -> DataFrame:
     return comments.csv_to_parquet_clean(spark, path, new_path(spark, "clean"), DOCUMENT)
 
 
+def csv_rejects(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows that cleaning leaves out, with the reason: one number is spelled as text in part."""
+    events = table(spark, folder, "events").withColumn(
+        "value",
+        F.when(F.col("event_type") == "error", F.lit("n/a")).otherwise(F.col("value").cast("string")),
+    )
+    path, rejects = _free_text_file(times_as_text(events)), new_path(spark, "rejects")
+    comments.csv_to_parquet_clean(
+        spark, path, new_path(spark, "clean"), EVENT, required=["event_id", "value"], rejects=rejects, free_text=False
+    )
+    return _without_zone(spark.read.parquet(rejects)).select("event_id", "ts", "user_id", "reject_reason")
+
+
 def load_transactions(spark: SparkSession, folder: str) -> DataFrame:
     path = _delimited_file(tables.transactions(spark, folder), ",", header=False)
     name = f"transactions_{uuid.uuid4().hex}"
@@ -321,6 +334,7 @@ def land_raw_comments(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     "csv_header_inferred": csv_header_inferred,
     "csv_to_parquet_clean": csv_to_parquet_clean,
+    "csv_rejects": csv_rejects,
     "load_transactions": load_transactions,
     "delimited_logs": delimited_logs,
     "csv_with_names": csv_with_names,
@@ -365,6 +379,10 @@ SQL = {
         SELECT DISTINCT text, lang, source, n_chars FROM documents
         WHERE text IS NOT NULL AND lang IS NOT NULL AND source IS NOT NULL AND n_chars IS NOT NULL
     """,
+    "csv_rejects": """
+        SELECT event_id, date_trunc('second', ts) AS ts, user_id, 'value' AS reject_reason
+        FROM events WHERE event_type = 'error'
+    """,
     "load_transactions": """
         SELECT o_orderkey AS transaction_id, o_custkey AS user_id, o_totalprice AS amount,
                o_orderpriority AS currency, o_orderdate AS transaction_date,

@@ -12,7 +12,14 @@ from pyspark.sql.types import StructType
 from tidemill import schemas
 from tidemill.functions.casts import parse_time
 from tidemill.functions.records import encode_rows, times_as_text
-from tidemill.operators.clean import cast_columns, drop_incomplete, drop_repeats
+from tidemill.operators.clean import (
+    cast_columns,
+    conform_to_schema,
+    drop_incomplete,
+    drop_repeats,
+    rejected,
+    with_reject_reason,
+)
 from tidemill.operators.groups import keep_latest
 from tidemill.sinks.files import write_parquet
 from tidemill.sinks.kafka import publish
@@ -38,13 +45,21 @@ def csv_to_parquet_clean(
     schema: StructType = schemas.COMMENTS,
     *,
     required: Sequence[str] | None = None,
+    rejects: str | None = None,
+    free_text: bool = True,
     options: Mapping[str, str] | None = None,
 ) -> DataFrame:
     """Clean a headed CSV feed into Parquet at ``target`` and return the written table.
 
-    All columns are read as text and cast in the same pass; nothing is inferred.
+    All columns are read as text and cast in the same pass; nothing is inferred. Rows left out
+    for a missing value go to ``rejects``, if given, with the names of the columns that lack one.
+    Values may hold line breaks; ``free_text=False`` promises that none does, and lets large
+    files be read in parallel.
     """
-    raw = read_csv(spark, source, schema=schemas.as_text(schema), options=options)
+    raw = read_csv(spark, source, schema=schemas.as_text(schema), free_text=free_text, options=options)
+    if rejects is not None:
+        typed = cast_columns(raw, schema)
+        write_parquet(rejected(with_reject_reason(typed, required or schema.names)), rejects)
     write_parquet(clean_rows(raw, schema, required=required), target)
     return spark.read.parquet(target)
 
@@ -60,12 +75,19 @@ def stream_comments(
     checkpoint: str,
     schema: StructType = schemas.COMMENTS,
     *,
+    serving: StructType | None = None,
     interval: str = INTERVAL,
     available_now: bool = False,
 ) -> StreamingQuery:
-    """Decode JSON records and hand each micro-batch to ``write_batch``."""
+    """Decode JSON records and hand each micro-batch to ``write_batch`` in the types of ``serving``.
+
+    The serving table of comments takes the place of ``serving`` for the schema of comments;
+    another schema stays as it is unless ``serving`` is given.
+    """
+    if serving is None:
+        serving = schemas.comments_serving() if schema == schemas.COMMENTS else schema
     return start_batches(
-        decode_records(records, schema),
+        conform_to_schema(decode_records(records, schema), serving),
         write_batch,
         checkpoint,
         interval=interval,
