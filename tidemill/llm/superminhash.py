@@ -197,24 +197,28 @@ def _open_buckets(members: DataFrame, groups: DataFrame) -> DataFrame:
     return join_splittable(placed, largest, ["key"])
 
 
-def _next_pairs(open_: DataFrame, centres: int) -> tuple[DataFrame, DataFrame]:
-    """Pairs of different groups that hold one of the first ``centres`` members outside a
-    bucket's largest group, and the members that are not among those first.
+def _next_pairs(open_: DataFrame, centres: int, partners: int) -> tuple[DataFrame, DataFrame]:
+    """Pairs of a bucket's first ``centres`` members outside its largest group with the first
+    ``partners`` of each other group, and the buckets where there are more of either.
 
     Of two members of different groups at least one is outside the largest, so with all of
-    them as centres every pair is compared.
+    them as centres every pair is compared. Few partners are enough to join most members to
+    their group, after which its other members need no comparison.
     """
+    mixed = F.xxhash64("id", "key")
     outside = open_.where(F.col("component") != F.col("top")).withColumn(
-        "turn", F.row_number().over(Window.partitionBy("key").orderBy(F.xxhash64("id", "key"), "id"))
+        "turn", F.row_number().over(Window.partitionBy("key").orderBy(mixed, "id"))
     )
+    inside = open_.withColumn("turn", F.row_number().over(Window.partitionBy("key", "component").orderBy(mixed, "id")))
     centre = outside.where(F.col("turn") <= centres).select(
         F.col("key").alias("at"), F.col("id").alias("centre"), F.col("component").alias("own"),
         *[F.col(name).alias(f"own_{name}") for name in _sketches()],
     )
-    near = (open_["key"] == centre["at"]) & (F.col("component") != F.col("own")) & (_different("", "own_") <= DIFFERENT)
-    pairs = open_.join(centre, near)
+    near = (F.col("key") == F.col("at")) & (F.col("component") != F.col("own")) & (_different("", "own_") <= DIFFERENT)
+    pairs = inside.where(F.col("turn") <= partners).join(centre, near)
     pairs = pairs.select(F.least("centre", "id").alias("a"), F.greatest("centre", "id").alias("b")).distinct()
-    return pairs, outside.where(F.col("turn") > centres)
+    later = outside.where(F.col("turn") > centres).select("key")
+    return pairs, later.union(inside.where(F.col("turn") > partners).select("key"))
 
 
 def near_duplicates(documents: DataFrame, *, size: int = 5, percent: int = 80) -> DataFrame:
@@ -265,12 +269,12 @@ def _groups(plain: DataFrame, signed: DataFrame, size: int, percent: int) -> Dat
     compared = write_table(compared.select("a", F.col("id").alias("b")).distinct(), "pairs")
     texts = plain.join(compared.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "id", "left_semi")
     groups = components(copies.unionByName(_confirmed(compared, texts, size, percent)))
-    members, centres = members.drop("centre"), 64
+    members, centres, partners = members.drop("centre"), 64, 4
     while True:
         open_ = write_table(_open_buckets(members, groups), "open-buckets")
         if open_.isEmpty():
             return groups
-        pairs, later = _next_pairs(open_, centres)
+        pairs, later = _next_pairs(open_, centres, partners)
         further = write_table(pairs.join(compared, ["a", "b"], "left_anti"), "pairs")
         if further.isEmpty():
             if later.isEmpty():
@@ -280,4 +284,4 @@ def _groups(plain: DataFrame, signed: DataFrame, size: int, percent: int) -> Dat
             texts = plain.join(further.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "id", "left_semi")
             groups = components(known.unionByName(_confirmed(further, texts, size, percent)))
             compared = compared.unionByName(further)
-        centres *= 64
+        centres, partners = 64 * centres, 64 * partners
