@@ -74,6 +74,40 @@ def test_recall_of_prefixes(spark):
     assert len(found) == 60 and np.mean(hits) >= 0.9
 
 
+def recall_of(spark, vectors, every):
+    """Share of the five nearest found, by query, and each query's fifth cosine."""
+    rows = [(n, v.astype(np.float32).tolist(), 0) for n, v in enumerate(vectors)]
+    found = {}
+    for r in prefix_forest.nearest(spark.createDataFrame(rows, VECTORS), every=every).collect():
+        found.setdefault(r.query_id, set()).add(r.vec_id)
+    unit = np.array([r[1] for r in rows], np.float64)
+    unit /= np.linalg.norm(unit, axis=1, keepdims=True)
+    hits, fifth = [], []
+    for q in range(0, len(rows), every):
+        close = unit @ unit[q]
+        close[q] = -2
+        best = np.argsort(-close)[:5]
+        hits.append(len(found[q] & set(best.tolist())) / 5)
+        fifth.append(close[best[4]])
+    return np.array(hits), np.array(fifth)
+
+
+def test_vectors_far_apart_find_all(spark):
+    hits, fifth = recall_of(spark, np.random.default_rng(6).normal(size=(4000, 64)), 50)
+    assert fifth.max() < prefix_forest.least_cosine(prefix_forest.SHORTEST) and hits.min() == 1
+
+
+def test_recall_holds_at_deep_prefixes(spark):
+    source = np.random.default_rng(7)
+    centres, spread = source.normal(size=(200, 64)), np.linspace(0.1, 0.6, 200)
+    family = source.integers(0, 200, 4000)
+    vectors = centres[family] + source.normal(size=(4000, 64)) * spread[family, None]
+    hits, fifth = recall_of(spark, vectors, 10)
+    for level in range(prefix_forest.SHORTEST, prefix_forest.LENGTH + 1):
+        deep = fifth >= prefix_forest.least_cosine(level)
+        assert deep.sum() > 30 and hits[deep].mean() >= 0.9
+
+
 def test_targets_fill_up_to_the_limit():
     found = source_mix.targets([100, 1000, 10, 0], [5, 2, 1, 5])
     assert found[0] == 200 and found[2] == 20 and found[3] == 0 and abs(sum(found) - 1665) < 1e-9

@@ -2,16 +2,19 @@
 
 In each tree a vector has a long string of characters: which of some random directions it lies
 nearest to, or opposite. The strings of a tree in order are a sorted array, and the vectors that
-share a prefix with a query are a stretch of it. A query descends in all trees together: its
-candidates are the stretches at the longest prefix for which all trees hold enough of them;
-where that is not so at one character it ascends to the root, which is every vector. A stretch
-is searched in blocks of bounded size, with exact cosines. Equal vectors are one entry with
-their least numbers, as no more than those can be among the nearest.
+share a prefix with a query are a stretch of it. A query begins in all trees at the longest prefix
+that others share and ascends a character at a time until the ``k``-th nearest it has found is so
+near that, by the chance of two vectors at that cosine to share the prefix in some tree, a vector as
+near is missed with a chance of ``1 - recall`` at most. The number of entries has no part in it. Above
+``SHORTEST`` characters there is the root, which is every vector. A stretch is searched in blocks of
+bounded size, with exact cosines. Equal vectors are one entry with their least numbers, as no more
+than those can be among the nearest.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -23,9 +26,10 @@ from tidemill.scratch import write_table
 TREES, LENGTH, DIRECTIONS = 40, 6, 32
 # Bits of a character: a direction and its sign.
 _BITS = (2 * DIRECTIONS - 1).bit_length()
-# Entries that the stretches of all trees hold together before a query goes a character deeper,
-# and below which it ascends from one character to the root. Both count entries in every tree.
-DEEPER, ROOT = 200_000, 2_000
+# A single character in all trees is nearly half of all vectors: below two there is only the root.
+SHORTEST = 2
+# Share of the nearest that a query finds, expected at the least.
+RECALL = 0.9
 # Entries, and queries, that one task compares at once.
 BLOCK = 4096
 
@@ -41,6 +45,26 @@ def strings(vectors: np.ndarray, tree: int, seed: int = 11) -> np.ndarray:
     return code
 
 
+def least_cosine(level: int, recall: float = RECALL, seed: int = 5) -> float:
+    """The cosine from which on two vectors share ``level`` characters in some tree with a chance of ``recall``.
+
+    Directions are normal, so the chance to share a character depends on the cosine alone; it
+    is counted on pairs of drawn rows, and a hundredth is added to the cosine for the counting.
+    """
+    wanted = (1 - (1 - recall) ** (1 / TREES)) ** (1 / level)
+    rng = np.random.default_rng(seed)
+    one, other = rng.normal(size=(2, 40_000, DIRECTIONS))
+    best = np.abs(one).argmax(1)
+    rows = np.arange(len(one))
+    low, high = 0.0, 1.0
+    while high - low > 1e-3:
+        cosine = (low + high) / 2
+        near = cosine * one + np.sqrt(1 - cosine * cosine) * other
+        same = (np.abs(near).argmax(1) == best) & (near[rows, best] * one[rows, best] > 0)
+        low, high = (low, cosine) if same.mean() >= wanted else (cosine, high)
+    return min(high + 0.01, 1 - 1e-9)
+
+
 def _usable(vectors: DataFrame) -> DataFrame:
     """(vec_id, v): numbered vectors that have a direction, each once."""
     v = F.col("embedding").cast("array<double>")
@@ -57,7 +81,7 @@ def _stacked(column: pa.Array) -> np.ndarray:
 
 def _keyed(rows: DataFrame, keep: dict[str, str]) -> DataFrame:
     """A row for each tree: size of the vector, tree, string, and the columns to ``keep``."""
-    kinds = ", ".join(f"{name} {kind}" for name, kind in keep.items())
+    kinds = "".join(f", {name} {kind}" for name, kind in keep.items())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -78,24 +102,26 @@ def _keyed(rows: DataFrame, keep: dict[str, str]) -> DataFrame:
                             ["size", "tree", "code", *keep],
                         )
 
-    return rows.mapInArrow(run, f"size int, tree int, code long, {kinds}")
+    return rows.mapInArrow(run, f"size int, tree int, code long{kinds}")
+
+
+_STRETCH = ["size", "tree", "level", "prefix"]
 
 
 def _at(level: int) -> list:
-    """Keys of a stretch: at the root there is one for each size of vectors, in the first tree."""
-    prefix = F.shiftright("code", _BITS * (LENGTH - level)) if level else F.lit(0).cast("long")
-    return ["size", "tree", F.lit(level).alias("level"), prefix.alias("prefix")]
+    """Keys of a stretch."""
+    return ["size", "tree", F.lit(level).alias("level"), F.shiftright("code", _BITS * (LENGTH - level)).alias("prefix")]
 
 
-_STRETCH = ["size", "tree", "level", "prefix"]
+def _root() -> list:
+    """Keys of the one stretch at the root for each size of vectors."""
+    return [F.size("v").alias("size"), F.lit(0).alias("tree"), F.lit(0).alias("level"), F.lit(0).cast("long").alias("prefix")]
 
 
-def _levels(keyed: DataFrame, *rest: str) -> DataFrame:
-    """``keyed`` at every level; its root rows are those of the first tree."""
-    found = keyed.where("tree = 0").select(*_at(0), *rest)
-    for level in range(1, LENGTH + 1):
-        found = found.unionByName(keyed.select(*_at(level), *rest))
-    return found
+def _levels(keyed: DataFrame, rows: DataFrame, *rest: str) -> DataFrame:
+    """``keyed`` at every level, and ``rows`` at the root."""
+    found = [keyed.select(*_at(level), *rest) for level in range(SHORTEST, LENGTH + 1)]
+    return reduce(DataFrame.unionByName, found, rows.select(*_root(), *rest))
 
 
 def _nearest(k: int):
@@ -128,45 +154,19 @@ def _nearest(k: int):
     return run
 
 
-def nearest(vectors: DataFrame, *, every: int = 50, k: int = 5, deeper: int = DEEPER, root: int = ROOT) -> DataFrame:
-    """(query_id, rank, vec_id, score): the ``k`` nearest found of each row whose ``vec_id`` is divisible by ``every``.
+def _searched(entries: DataFrame, wanted: DataFrame, level: int, k: int) -> DataFrame:
+    """(query_id, rank, vec_id, score) of the ``k`` best in the stretches ``wanted`` of a level.
 
-    Nearness is the cosine in double precision, ties go to the smaller ``vec_id``; a query's own
-    number is no candidate. Vectors that are NULL, zero, or hold a NULL, NaN or infinite component
-    take no part, neither do rows without ``vec_id``; vectors of different length are never
-    compared. Equal rows count once; of several vectors with one ``vec_id`` the nearest counts. Fewer than ``k`` rows
-    come for a query only if there are fewer candidates at its prefix, or in all at the root.
-    An empty table gives an empty result.
-
-    Runs jobs, and keeps the entries in the shared folder.
+    ``wanted`` has the keys of the stretch, its number of entries, ``query_id`` and ``v``.
     """
-    usable = write_table(_usable(vectors), "vectors")
-    # The least k + 1 numbers of a vector: its own may be one of them.
-    first = F.row_number().over(Window.partitionBy("v").orderBy("vec_id"))
-    few = usable.withColumn("turn", first).where(F.col("turn") <= k + 1)
-    entries = write_table(few.groupBy("v").agg(F.sort_array(F.collect_list("vec_id")).alias("ids")), "entries")
-    queries = usable.where(F.col("vec_id") % every == 0).select(F.col("vec_id").alias("query_id"), "v")
-    asked = write_table(_keyed(queries, {"query_id": "long", "v": "array<double>"}), "queries")
-    counts = _levels(_keyed(entries.select("v"), {"v": "array<double>"}).drop("v")).groupBy(*_STRETCH).agg(F.count("*").alias("entries"))
-    held = _levels(asked, "query_id", "v").join(counts, _STRETCH)
-    held = write_table(held.select(*_STRETCH, "query_id", "v", "entries"), "stretches")
-    totals = held.groupBy("query_id", "level").agg(F.sum("entries").alias("total"))
-    enough = F.col("total") >= F.when(F.col("level") == 1, root).otherwise(deeper)
-    chosen = totals.where((F.col("level") == 0) | enough).groupBy("query_id").agg(F.max("level").alias("level"))
-    wanted = write_table(held.join(chosen, ["query_id", "level"]), "wanted")
     stretches = wanted.groupBy(*_STRETCH).agg(
         F.ceil(F.first("entries") / BLOCK).cast("int").alias("blocks"), F.ceil(F.count("*") / BLOCK).cast("int").alias("parts")
     )
     stretches = write_table(stretches, "blocks")
-    levels = [row["level"] for row in stretches.select("level").distinct().collect()]
-    if not levels:
-        return usable.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    keyed = _keyed(entries, {"ids": "array<long>", "v": "array<double>"})
-    candidates = None
-    for level in levels:
-        rows = keyed if level else keyed.where("tree = 0")
-        rows = rows.select(*_at(level), "ids", "v")
-        candidates = rows if candidates is None else candidates.unionByName(rows)
+    if level:
+        candidates = _keyed(entries, {"ids": "array<long>", "v": "array<double>"}).select(*_at(level), "ids", "v")
+    else:
+        candidates = entries.select(*_root(), "ids", "v")
     # Blocks of a stretch, each against parts of its queries.
     block = F.pmod(F.xxhash64("ids"), F.col("blocks")).cast("int")
     candidates = candidates.join(stretches, _STRETCH).select(
@@ -185,3 +185,48 @@ def nearest(vectors: DataFrame, *, every: int = 50, k: int = 5, deeper: int = DE
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     ranked = best.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")
+
+
+def nearest(vectors: DataFrame, *, every: int = 50, k: int = 5, recall: float = RECALL) -> DataFrame:
+    """(query_id, rank, vec_id, score): the ``k`` nearest found of each row whose ``vec_id`` is divisible by ``every``.
+
+    Each of the ``k`` nearest is found with a chance of ``recall`` at least over the draw of the
+    directions; a query for which no prefix of ``SHORTEST`` characters is enough finds all. Nearness
+    is the cosine in double precision, ties go to the smaller ``vec_id``; a query's own
+    number is no candidate. Vectors that are NULL, zero, or hold a NULL, NaN or infinite component
+    take no part, neither do rows without ``vec_id``; vectors of different length are never
+    compared. Equal rows count once; of several vectors with one ``vec_id`` the nearest counts. Fewer than ``k`` rows
+    come for a query only if there are fewer candidates in all. An empty table gives an empty result.
+
+    Runs jobs, and keeps the entries and what each level finds in the shared folder.
+    """
+    usable = write_table(_usable(vectors), "vectors")
+    # The least k + 1 numbers of a vector: its own may be one of them.
+    first = F.row_number().over(Window.partitionBy("v").orderBy("vec_id"))
+    few = usable.withColumn("turn", first).where(F.col("turn") <= k + 1)
+    entries = write_table(few.groupBy("v").agg(F.sort_array(F.collect_list("vec_id")).alias("ids")), "entries")
+    queries = write_table(usable.where(F.col("vec_id") % every == 0).select(F.col("vec_id").alias("query_id"), "v"), "queries")
+    asked = _levels(write_table(_keyed(queries, {"query_id": "long", "v": "array<double>"}), "asked"), queries, "query_id", "v")
+    stretches = asked.select(*_STRETCH).distinct()
+    counts = _levels(_keyed(entries, {}), entries).groupBy(*_STRETCH).agg(F.count("*").alias("entries"))
+    counts = write_table(counts.join(stretches, _STRETCH, "left_semi"), "counts")
+    # A query is an entry itself in each tree: with no more than these there is nothing to find yet.
+    totals = asked.join(counts, _STRETCH).groupBy("query_id", "level").agg(F.sum("entries").alias("total"))
+    begin = totals.where((F.col("level") == 0) | (F.col("total") >= TREES + k)).groupBy("query_id").agg(F.max("level").alias("begin"))
+    waiting, settled = write_table(begin, "begin"), []
+    for level in [*range(LENGTH, SHORTEST - 1, -1), 0]:
+        now = waiting.where(F.col("begin") >= level)
+        if now.isEmpty():
+            continue
+        mine = asked.where(F.col("level") == level).join(now.select("query_id"), "query_id")
+        wanted = write_table(mine.join(counts, _STRETCH).select(*_STRETCH, "query_id", "v", "entries"), "wanted")
+        found = write_table(_searched(entries, wanted, level, k), "found")
+        if level:
+            near = (F.col("rank") == k) & (F.col("score") >= least_cosine(level, recall))
+            done = found.where(near).select("query_id")
+            found = found.join(done, "query_id", "left_semi")
+            waiting = write_table(waiting.join(done, "query_id", "left_anti"), "waiting")
+        settled.append(found.select("query_id", "rank", "vec_id", "score"))
+    if not settled:
+        return usable.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    return reduce(DataFrame.unionByName, settled)
