@@ -210,6 +210,24 @@ def test_chains_equal_all_subsets():
         assert sorted(p for c in passage_chains.chain(x, y) for p in c) == list(range(n))
 
 
+@pytest.mark.parametrize(("n", "percent"), [(50, 80), (50, 90), (60, 85), (100, 80), (200, 80)])
+def test_passages_as_unlike_as_stated_are_found(n, percent):
+    source, found = np.random.default_rng(n + percent), 0
+    for _ in range(100):
+        a, b = source.integers(1, 1 << 63, (2, n + 120)).astype(np.uint64)
+        b[60 : 60 + n] = a[60 : 60 + n]
+        unlike = 60 + source.choice(n, n * (100 - percent) // 100, replace=False)
+        b[unlike] += np.uint64(1)
+        seeds, at, first = passage_chains.seeds(np.concatenate((a, b)), np.array([0, len(a), 2 * len(a)]))
+        ours, theirs = (dict(zip(seeds[k:m].tolist(), at[k:m].tolist(), strict=True)) for k, m in zip(first, [*first[1:-1], None], strict=False))
+        shared = sorted(ours.keys() & theirs.keys(), key=ours.get)
+        if len(shared) > 1:
+            rows = passage_chains.align(a, b, [ours[h] for h in shared], [theirs[h] for h in shared])
+            assert all(min(r[1] - r[0], r[3] - r[2]) >= 50 and 100 * r[4] >= 80 * max(r[1] - r[0], r[3] - r[2]) for r in rows)
+            found += any(r[1] - r[0] >= 0.95 * n for r in rows)
+    assert found >= 97
+
+
 def test_passages_of_odd_rows(frame, odd_rows):
     found = passage_chains.repeated_passages(frame(odd_rows)).collect()
     assert [r for r in found if r.doc_id != r.source_id] == []
