@@ -210,6 +210,27 @@ def test_chains_equal_all_subsets():
         assert sorted(p for c in passage_chains.chain(x, y) for p in c) == list(range(n))
 
 
+def test_a_family_of_edited_copies_is_one_group(frame):
+    source = random.Random(13)
+    base = sentence(source, 60)
+    rows = [(n, " ".join((sentence(source, 40), edited(source, base, 0.1), sentence(source, 40)))) for n in range(100)]
+    groups = Groups()
+    for r in passage_chains.repeated_passages(frame(rows)).collect():
+        groups.link(r.doc_id, r.source_id)
+    assert len({groups.root(n) for n, _ in rows}) == 1
+
+
+def test_a_passage_of_phrases_that_many_hold_is_found(frame):
+    source, rows = random.Random(14), []
+    for _ in range(3):
+        own = sentence(source, 60).split(" ")
+        rows += [" ".join((sentence(source, 30), *own, sentence(source, 30))) for _ in range(2)]
+        for k in range(0, 51, 5):
+            rows += [" ".join((sentence(source, 25), *own[k : k + 10], sentence(source, 25))) for _ in range(30)]
+    found = {(r.doc_id, r.source_id) for r in passage_chains.repeated_passages(frame(list(enumerate(rows)))).collect()}
+    assert found == {(1, 0), (333, 332), (665, 664)}
+
+
 @pytest.mark.parametrize(("n", "percent"), [(50, 80), (50, 90), (60, 85), (100, 80), (200, 80)])
 def test_passages_as_unlike_as_stated_are_found(n, percent):
     source, found = np.random.default_rng(n + percent), 0
