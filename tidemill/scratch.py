@@ -44,15 +44,21 @@ def write_table(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def _delete(spark: SparkSession, text: str) -> bool:
+    context = spark.sparkContext
+    path = context._jvm.org.apache.hadoop.fs.Path(text)
+    return path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete a path of ``new_path`` that nothing reads any more, before the job's end."""
+    _handed_out[spark.sparkContext.applicationId].remove(path)
+    _delete(spark, path)
+
+
 def release(spark: SparkSession) -> int:
     """Delete what this application has written below the shared folder; return how many paths.
 
     For the end of a job: tables returned earlier read these files.
     """
-    context = spark.sparkContext
-    paths = _handed_out.pop(context.applicationId, [])
-    deleted = 0
-    for text in paths:
-        path = context._jvm.org.apache.hadoop.fs.Path(text)
-        deleted += path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
-    return deleted
+    return sum(_delete(spark, path) for path in _handed_out.pop(spark.sparkContext.applicationId, []))
