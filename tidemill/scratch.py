@@ -39,7 +39,11 @@ def new_path(spark: SparkSession, name: str) -> str:
 
 def write_table(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet below the shared folder and return the table read back."""
-    path = new_path(df.sparkSession, name)
+    return write_at(df, new_path(df.sparkSession, name))
+
+
+def write_at(df: DataFrame, path: str) -> DataFrame:
+    """The same at a path of ``new_path``, for a caller that will ``discard`` it."""
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
