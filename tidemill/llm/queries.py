@@ -4,8 +4,24 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-
-from tidemill.llm import decontamination, language, line_runs, passage_chains, prefix_forest, quality_trees, source_mix, superminhash, token_counts, toxicity
+from pyspark.sql import functions as F
+
+from tidemill.llm import (
+    anchor_cover,
+    decontamination,
+    language,
+    line_runs,
+    passage_chains,
+    prefix_forest,
+    quality_trees,
+    sharded_lloyd,
+    source_mix,
+    superminhash,
+    token_counts,
+    toxicity,
+    vector_codes,
+    vector_sql,
+)
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -61,6 +77,25 @@ def op10_line_runs(spark: SparkSession, folder: str) -> DataFrame:
     return cleaned.select("doc_id", "n_lines", "n_removed", "text")
 
 
+def op11_vector_codes(spark: SparkSession, folder: str) -> DataFrame:
+    coded, codebooks = vector_codes.encode(_table(spark, folder, "embeddings"))
+    code = F.array_join(F.transform("codes", lambda entry: F.lpad(F.lower(F.hex(entry)), 2, "0")), "")
+    digest = F.lit(vector_codes.codebooks_sha256(codebooks))
+    return coded.select("vec_id", code.alias("code"), "error", "label_error", digest.alias("codebooks_sha256"))
+
+
+def op12_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    found = anchor_cover.near_fingerprints(_table(spark, folder, "documents"))
+    shown = F.lpad(F.lower(F.hex("fingerprint")), 16, "0")
+    return found.select("doc_id", shown.alias("fingerprint"), "component_id")
+
+
+def op13_clusters(spark: SparkSession, folder: str) -> DataFrame:
+    found = sharded_lloyd.cluster(_table(spark, folder, "embeddings"))
+    digest = F.sha2(F.array_join(F.col("centroid").cast("array<string>"), ","), 256)
+    return found.select("vec_id", "cluster", "distance", "cluster_inertia", "inertia", digest.alias("centroid_sha256"))
+
+
 QUERIES = {
     "op1_quality": op1_quality,
     "op2_decontamination": op2_decontamination,
@@ -72,8 +107,13 @@ QUERIES = {
     "op8_source_mix": op8_source_mix,
     "op9_language": op9_language,
     "op10_line_runs": op10_line_runs,
+    "op11_vector_codes": op11_vector_codes,
+    "op12_fingerprints": op12_fingerprints,
+    "op13_clusters": op13_clusters,
 }
 SQL: dict[str, str] = {
+    "op11_vector_codes": vector_sql.codes(),
+    "op13_clusters": vector_sql.clusters(),
     "op10_line_runs": """
         WITH lines AS (
             SELECT doc_id, unnest(string_split(text, chr(10))) AS line,
