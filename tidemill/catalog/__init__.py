@@ -6,11 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemill.catalog import documents, feeds, reports, streams
+from tidemill.catalog import documents, feeds, loads, reports, streams
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-_MODULES = (reports, documents, feeds, streams)
+_MODULES = (reports, documents, feeds, loads, streams)
 
 
 def queries() -> dict[str, Query]:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
@@ -20,9 +20,10 @@ from tidemill.operators.clean import (
     rejected,
     with_reject_reason,
 )
-from tidemill.operators.groups import keep_latest
+from tidemill.operators.winners import latest_rows, on_files
 from tidemill.sinks.files import write_parquet
 from tidemill.sinks.kafka import publish
+from tidemill.sinks.landing import land
 from tidemill.sources.files import read_csv
 from tidemill.streaming.decode import decode_records
 from tidemill.streaming.runs import INTERVAL, start_batches
@@ -95,6 +96,18 @@ def stream_comments(
     )
 
 
+def _complete(required: Sequence[str]) -> Column:
+    complete = F.lit(True)
+    for name in required:
+        complete = complete & F.col(name).isNotNull()
+    return complete
+
+
+def _time(rows: DataFrame, name: str) -> Column:
+    """A column as a time, parsed if it is text."""
+    return parse_time(F.col(name)) if dict(rows.dtypes)[name] == "string" else F.col(name)
+
+
 def land_raw_comments(
     raw: DataFrame,
     target: str,
@@ -104,21 +117,15 @@ def land_raw_comments(
     day_of: str = "created_time",
     then_by: str = "post_created_time",
 ) -> DataFrame:
-    """Land one row per key, partitioned by day, and return the rows rejected.
+    """Land one row per key, the last by row order, partitioned by day, and return the rows rejected.
 
     Rows with a NULL in ``required`` are rejected. ``day_of`` becomes the partition column
     ``<day_of>_day`` and ``then_by`` the order inside files, so that filters on either
     time read only part of the table. Days are written in pieces of the advisory size,
     however many rows one day holds.
     """
-    complete = F.lit(True)
-    for name in required:
-        complete = complete & F.col(name).isNotNull()
-    day = f"{day_of}_day"
-    time = F.col(day_of)
-    if dict(raw.dtypes)[day_of] == "string":
-        time = parse_time(time)
-    landed = keep_latest(raw.where(complete), key).withColumn(day, time.cast("date"))
+    complete, day = _complete(required), f"{day_of}_day"
+    landed = latest_rows(on_files(raw).where(complete), key).withColumn(day, _time(raw, day_of).cast("date"))
     (
         landed.hint("rebalance", F.col(day))
         .sortWithinPartitions(day, then_by)
@@ -127,3 +134,27 @@ def land_raw_comments(
         .parquet(target)
     )
     return raw.where(~complete)
+
+
+def land_comments(
+    raw: DataFrame,
+    root: str,
+    *,
+    key: Sequence[str] = (schemas.COMMENT_KEY,),
+    required: Sequence[str] = schemas.COMMENT_REQUIRED,
+    day_of: str = "created_time",
+    then_by: str = "post_created_time",
+) -> DataFrame:
+    """Land a load in a table that holds one row per key over all loads, and return the rows rejected.
+
+    Rows lie by the day of ``day_of`` (``<day_of>_day``); the days of ``then_by`` are indexed. Read the table with
+    ``tidemill.sinks.landing.read_landed`` or, by days of ``then_by``, ``read_second_days``.
+    """
+    complete, day = _complete(required), f"{day_of}_day"
+    rows = raw.where(complete).withColumn(day, _time(raw, day_of).cast("date"))
+    second = None if dict(raw.dtypes)[then_by] == "string" else then_by
+    if second is None:
+        second = f"{then_by}_parsed"
+        rows = rows.withColumn(second, _time(raw, then_by))
+    land(rows, root, keys=key, day=day, order=then_by, second=second)
+    return raw.where(~complete)

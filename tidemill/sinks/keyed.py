@@ -1,7 +1,8 @@
 """Tables in which a later load replaces rows of the same key.
 
 Each load is a folder of its own, so a load costs what it brings, may be repeated safely and
-never touches files being read. Replacement happens when the table is read or compacted.
+never touches files being read. Replacement happens when the table is read or compacted, over all
+loads; ``tidemill.sinks.buckets`` does it for what the loads touch.
 """
 
 from __future__ import annotations
@@ -11,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemill.operators.groups import keep_latest
+from tidemill.operators.winners import latest_rows
 
 LOAD = "load_id"
 
@@ -28,8 +29,8 @@ def read_loads(spark: SparkSession, root: str) -> DataFrame:
 
 
 def read_latest(spark: SparkSession, root: str, keys: Sequence[str]) -> DataFrame:
-    """The row of the highest load for each key; equal loads go by full row order."""
-    return keep_latest(read_loads(spark, root), keys, [LOAD]).drop(LOAD)
+    """The row of the highest load for each key; equal loads go by full row order. Runs jobs."""
+    return latest_rows(read_loads(spark, root), keys, LOAD).drop(LOAD)
 
 
 def compact(spark: SparkSession, root: str, new_root: str, keys: Sequence[str], load_id: int) -> None:
