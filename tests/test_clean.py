@@ -130,6 +130,7 @@ TIMES = [
     "2024-01-05 10:11:12", "2024-02-29 00:00:00", "2023-02-29 00:00:00", "2024-13-01 00:00:00",
     "2024-01-32 00:00:00", "2024-01-05 24:00:00", "2024-01-05 23:60:00", "2024-01-05 23:59:60",
     "2024-1-5 10:11:12", "2024-01-05", "2024-01-05T10:11:12", "2024-01-05 10:11:12.5",
+    "2024-01-05 10:11:12.000001", "2024-01-05 10:11:12.1234567", "2024-01-05 10:11:12.", "2024-01-05 10:11:12,5",
     "2024-01-05 10:11:12Z", " 2024-01-05 10:11:12", "2024-01-05 10:11:12 ", "24-01-05 10:11:12",
     "1969-12-31 23:59:59", "9999-12-31 23:59:59", "2024-01-05 10:11:12\n", "2024-01-05\n", "today", "", None,
 ]
@@ -137,7 +138,8 @@ TIMES = [
 
 def test_fast_time_parsing_agrees_with_the_pattern(spark):
     df = one_column(spark, *TIMES)
-    slow = F.try_to_timestamp("x", F.lit(casts.TIME_PATTERN))
+    fractions = [F.lit(casts.TIME_PATTERN + "." * (n > 0) + "S" * n) for n in range(7)]
+    slow = F.coalesce(*[F.try_to_timestamp("x", pattern) for pattern in fractions])
     assert tuples(df.select(casts.parse_time(F.col("x")))) == tuples(df.select(slow))
     for key_pattern in ("yyyy-M-d", "yyyy-M-d H:m:s"):
         parsed = df.select("x", F.try_to_timestamp("x", F.lit(key_pattern)).cast("date").alias("slow"))

@@ -99,6 +99,15 @@ def csv_to_parquet_clean(spark: SparkSession, folder: str) -> DataFrame:
     return comments.csv_to_parquet_clean(spark, path, new_path(spark, "clean"), DOCUMENT)
 
 
+def csv_large_file(spark: SparkSession, folder: str) -> DataFrame:
+    """The cleaned feed from one file of texts with line breaks, read in splits."""
+    path = new_path(spark, "free-text")
+    table(spark, folder, "documents").drop("doc_id").coalesce(1).write.options(
+        header="true", escape='"', ignoreLeadingWhiteSpace="false", ignoreTrailingWhiteSpace="false"
+    ).csv(path)
+    return comments.csv_to_parquet_clean(spark, path, new_path(spark, "clean"), DOCUMENT, large_files=True)
+
+
 def csv_rejects(spark: SparkSession, folder: str) -> DataFrame:
     """Rows that cleaning leaves out, with the reason: one number is spelled as text in part."""
     events = table(spark, folder, "events").withColumn(
@@ -334,6 +343,7 @@ def land_raw_comments(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     "csv_header_inferred": csv_header_inferred,
     "csv_to_parquet_clean": csv_to_parquet_clean,
+    "csv_large_file": csv_large_file,
     "csv_rejects": csv_rejects,
     "load_transactions": load_transactions,
     "delimited_logs": delimited_logs,
@@ -379,8 +389,12 @@ SQL = {
         SELECT DISTINCT text, lang, source, n_chars FROM documents
         WHERE text IS NOT NULL AND lang IS NOT NULL AND source IS NOT NULL AND n_chars IS NOT NULL
     """,
+    "csv_large_file": """
+        SELECT DISTINCT text, lang, source, n_chars FROM documents
+        WHERE text IS NOT NULL AND lang IS NOT NULL AND source IS NOT NULL AND n_chars IS NOT NULL
+    """,
     "csv_rejects": """
-        SELECT event_id, date_trunc('second', ts) AS ts, user_id, 'value' AS reject_reason
+        SELECT event_id, ts, user_id, 'value' AS reject_reason
         FROM events WHERE event_type = 'error'
     """,
     "load_transactions": """
@@ -436,7 +450,7 @@ SQL = {
     """,
     "normalize_categories": _normalized_categories("BIGINT", reports.SQL["category_rollup"]),
     "publish_json": """
-        SELECT event_id, date_trunc('second', ts) AS ts, user_id, event_type, value, props FROM events
+        SELECT event_id, ts, user_id, event_type, value, props FROM events
     """,
     "publish_status": "SELECT COUNT(*) AS records FROM events",
     "json_field": "SELECT event_id, CAST(props->>'k' AS INTEGER) AS k FROM events",

@@ -69,12 +69,11 @@ def stream_comments(spark: SparkSession, folder: str) -> DataFrame:
 
 def stream_rejects(spark: SparkSession, folder: str) -> DataFrame:
     """Records whose value is text: kept, with the reason, apart from the good rows."""
-    events = table(spark, folder, "events").withColumn(
-        "value",
-        F.when(F.col("event_type") == "error", F.lit("n/a")).otherwise(F.col("value").cast("string")),
-    )
-    _, bad = _ingest(spark, encode_rows(times_as_text(events)))
-    return bad.where(F.col("event_type") == "error").select("event_id", "user_id", "reject_reason")
+    events = times_as_text(table(spark, folder, "events"))
+    wrong = events.where(F.col("event_type") == "error").withColumn("value", F.lit("n/a"))
+    records = encode_rows(events.where(F.col("event_type") != "error")).union(encode_rows(wrong))
+    _, bad = _ingest(spark, records)
+    return bad.select("event_id", "user_id", "reject_reason")
 
 
 def stream_at_interval(spark: SparkSession, folder: str) -> DataFrame:
@@ -124,7 +123,7 @@ QUERIES = {
 }
 
 _EVENTS = """
-    SELECT event_id, date_trunc('second', ts) AS ts, user_id, event_type, value, props FROM events
+    SELECT event_id, ts, user_id, event_type, value, props FROM events
 """
 
 SQL = {

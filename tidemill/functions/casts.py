@@ -20,7 +20,7 @@ UTC_SUFFIX_PATTERN = "yyyy-MM-dd HH:mm:ss Z 'UTC'"
 
 # The shapes of text worth parsing. A failed parse costs an exception, a failed match does
 # not; and a plain cast of text known to have the shape is faster than parsing by pattern.
-_TIME = r"^\d{4}-\d\d-\d\d \d\d:\d\d:\d\d\z"
+_TIME = r"^\d{4}-\d\d-\d\d \d\d:\d\d:\d\d(\.\d{1,6})?\z"
 _DATE = r"^\d{4}-\d\d-\d\d\z"
 _KEY_DATE = r"^\d{4}-\d\d?-\d\d?( \d\d?:\d\d?:\d\d?)?\z"
 _WHOLE = r"^\s*[+-]?\d+\s*$"
@@ -41,8 +41,8 @@ def cast_to(
     """A column of type ``source`` as ``data_type``; NULL where the value does not fit.
 
     Whole-number targets accept text with a decimal spelling and truncate it. Dates and times
-    are converted as they are, fractions of a second included; a date is also read from text
-    that holds only a date.
+    are converted as they are, fractions of a second included, and text may hold a fraction too; a
+    date is also read from text that holds only a date.
     """
     if isinstance(source, (DateType, TimestampType, TimestampNTZType)):
         return column if source == data_type else column.try_cast(data_type)
@@ -70,6 +70,7 @@ def _whole_number(text: Column, data_type: DataType) -> Column:
 
 
 def parse_time(column: Column, time_pattern: str = TIME_PATTERN) -> Column:
+    """Time from text in a pattern; the default one may be followed by a fraction of a second, up to six digits."""
     text = column.cast("string")
     if time_pattern == TIME_PATTERN:
         return F.when(text.rlike(_TIME), text.try_cast("timestamp"))

@@ -12,10 +12,18 @@ from tidemill.functions.casts import TIME_PATTERN
 
 
 def times_as_text(df: DataFrame, time_pattern: str = TIME_PATTERN) -> DataFrame:
-    """Timestamps as text in the pattern the reader parses, so a JSON round trip is exact."""
+    """Timestamps as text that the reader parses, so a JSON round trip is exact.
+
+    The default pattern is followed by the fraction of the second, if there is one; another
+    pattern says itself what it keeps.
+    """
+
+    def text(name: str) -> Column:
+        return F.col(name).cast("string") if time_pattern == TIME_PATTERN else F.date_format(name, time_pattern)
+
     return df.select(
         [
-            F.date_format(field.name, time_pattern).alias(field.name)
+            text(field.name).alias(field.name)
             if isinstance(field.dataType, (TimestampType, TimestampNTZType))
             else F.col(field.name)
             for field in df.schema

@@ -13,6 +13,7 @@ from tidemill import schemas
 from tidemill.functions.casts import parse_time
 from tidemill.functions.records import encode_rows, times_as_text
 from tidemill.operators.clean import (
+    accepted,
     cast_columns,
     conform_to_schema,
     drop_incomplete,
@@ -21,10 +22,12 @@ from tidemill.operators.clean import (
     with_reject_reason,
 )
 from tidemill.operators.winners import latest_rows, on_files
+from tidemill.scratch import discard, new_path, write_at
 from tidemill.sinks.files import write_parquet
 from tidemill.sinks.kafka import publish
 from tidemill.sinks.landing import land
 from tidemill.sources.files import read_csv
+from tidemill.sources.free_text import read_free_text
 from tidemill.streaming.decode import decode_records
 from tidemill.streaming.runs import INTERVAL, start_batches
 
@@ -48,20 +51,30 @@ def csv_to_parquet_clean(
     required: Sequence[str] | None = None,
     rejects: str | None = None,
     free_text: bool = True,
+    large_files: bool = False,
     options: Mapping[str, str] | None = None,
 ) -> DataFrame:
     """Clean a headed CSV feed into Parquet at ``target`` and return the written table.
 
     All columns are read as text and cast in the same pass; nothing is inferred. Rows left out
     for a missing value go to ``rejects``, if given, with the names of the columns that lack one.
-    Values may hold line breaks; ``free_text=False`` promises that none does, and lets large
-    files be read in parallel.
+    Values may hold line breaks: then a file is read by one task, or with ``large_files`` by many, which costs
+    a shuffle (``read_free_text``). ``free_text=False`` promises that none does, and lets files be split as they are.
     """
-    raw = read_csv(spark, source, schema=schemas.as_text(schema), free_text=free_text, options=options)
-    if rejects is not None:
-        typed = cast_columns(raw, schema)
-        write_parquet(rejected(with_reject_reason(typed, required or schema.names)), rejects)
-    write_parquet(clean_rows(raw, schema, required=required), target)
+    text = schemas.as_text(schema)
+    if large_files:
+        raw = read_free_text(spark, source, text, options=options)
+    else:
+        raw = read_csv(spark, source, schema=text, free_text=free_text, options=options)
+    if rejects is None:
+        write_parquet(clean_rows(raw, schema, required=required), target)
+        return spark.read.parquet(target)
+    # Both tables come from one reading of the feed.
+    path = new_path(spark, "checked-feed")
+    checked = write_at(with_reject_reason(cast_columns(raw, schema), required or schema.names), path)
+    write_parquet(rejected(checked), rejects)
+    write_parquet(drop_repeats(accepted(checked)), target)
+    discard(spark, path)
     return spark.read.parquet(target)
 
 

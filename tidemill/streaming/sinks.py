@@ -7,6 +7,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame
 
 from tidemill.operators.clean import accepted, rejected, with_reject_reason
+from tidemill.scratch import discard, new_path, write_at
 
 
 def folder_batches(path: str) -> Callable[[DataFrame, int], None]:
@@ -25,12 +26,15 @@ def checked_batches(
 ) -> Callable[[DataFrame, int], None]:
     """Send rows complete in ``required`` to ``write_good`` and the others to ``write_bad``.
 
-    Each writer reads the batch from its source; nothing is kept on the executors between them.
+    The batch is decoded once and kept in the shared folder until both have written.
     """
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        checked = with_reject_reason(batch, required)
+        spark = batch.sparkSession
+        path = new_path(spark, "checked-batch")
+        checked = write_at(with_reject_reason(batch, required), path)
         write_good(accepted(checked), batch_id)
         write_bad(rejected(checked), batch_id)
+        discard(spark, path)
 
     return write_batch
