@@ -5,12 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemill.catalog import tables
+from tidemill.catalog import reports, tables
 from tidemill.catalog.tables import as_double, table
-from tidemill.plans import comments
-from tidemill.scratch import new_path
+from tidemill.functions.records import encode_rows, times_as_text
+from tidemill.plans import comments, kept
+from tidemill.schemas import layout
+from tidemill.scratch import new_path, write_table
 from tidemill.sinks.buckets import append_delta, compact_buckets, read_buckets
 from tidemill.sinks.landing import read_landed, read_second_days
+from tidemill.sinks.status import confirm, publish_to_folder
+from tidemill.sources.ranges import quantile_cuts, range_predicates, rows_of_days
+from tidemill.streaming import loose
 
 
 def _raised(orders: DataFrame, amount: int) -> DataFrame:
@@ -50,7 +55,113 @@ def landed_sessions(spark: SparkSession, folder: str) -> DataFrame:
     return read_second_days(spark, _landed(spark, folder), "session_ts", "2024-01-05", "2024-01-06")
 
 
+def _loads(rows: DataFrame, number: str) -> list[DataFrame]:
+    return [rows.where(F.col(number) % 3 == n) for n in range(3)]
+
+
+def daily_from_states(spark: SparkSession, folder: str) -> DataFrame:
+    """The daily report from the states of three loads, one of them loaded twice, two folded."""
+    root, folded = new_path(spark, "day-states"), new_path(spark, "day-states")
+    first, second, third = _loads(tables.transactions(spark, folder), "user_id")
+    kept.add_days(second, root, 1)
+    kept.add_days(first, root, 1)
+    kept.add_days(second, root, 2)
+    kept.fold_days(spark, root, folded, 1)
+    kept.add_days(third, folded, 2)
+    return as_double(kept.daily_transactions(spark, folded), "total_amount")
+
+
+def category_counts_from_states(spark: SparkSession, folder: str) -> DataFrame:
+    """Different transactions per category; three loads log many of them in common."""
+    root, folded = new_path(spark, "category-states"), new_path(spark, "category-states")
+    logs = table(spark, folder, "lineitem").select(
+        F.col("l_orderkey").alias("transaction_id"), F.col("l_returnflag").alias("category"), "l_linenumber"
+    )
+    for load_id, rows in enumerate(_loads(logs, "l_linenumber"), 1):
+        kept.add_category_transactions(rows, root, load_id)
+    kept.fold_category_transactions(spark, root, folded, 1)
+    return kept.category_transactions(spark, folded)
+
+
+def published_topics(spark: SparkSession, folder: str) -> DataFrame:
+    """Records written to a folder for each event type: what its files hold and what the writers saw."""
+    events, path = table(spark, folder, "events"), new_path(spark, "topics")
+    records = encode_rows(times_as_text(events)).withColumn("topic", F.get_json_object("value", "$.event_type"))
+    observed = publish_to_folder(records.repartition(5, "value"), path)
+    status = confirm(spark, path, observed).groupBy("topic").agg(F.sum("records").alias("records"))
+    return status.withColumn("all_records", F.lit(observed["records"]).cast("bigint"))
+
+
+def _drifting(spark: SparkSession, folder: str) -> DataFrame:
+    """Events as records whose value is a number, text, an object or left out, by the type of event."""
+    value = F.round("value", 2)
+    parts = {
+        "error": F.lit('"n/a"'),
+        "view": F.concat(F.lit('"'), value.cast("string"), F.lit('"')),
+        "purchase": F.concat(F.lit('{"amount":'), value.cast("string"), F.lit("}")),
+        "click": value.cast("string"),
+    }
+    spelled = F.lit(None).cast("string")
+    for name, part in parts.items():
+        spelled = F.when(F.col("event_type") == name, part).otherwise(spelled)
+    head = F.concat(F.lit('{"event_id":'), F.col("event_id").cast("string"), F.lit(',"ts":"'), F.col("ts").cast("string"), F.lit('"'))
+    field = F.coalesce(F.concat(F.lit(',"value":'), spelled), F.lit(""))
+    props = F.coalesce(F.concat(F.lit(',"props":'), F.col("props")), F.lit(""))
+    return table(spark, folder, "events").select(F.concat(head, field, props, F.lit("}")).alias("value"))
+
+
+_LOOSE = layout(event_id="long", ts="timestamp_ntz", value="double")
+
+
+def loose_events(spark: SparkSession, folder: str) -> DataFrame:
+    """Typed fields of drifting records, a field inside an object, and the reason where the value is missing."""
+    found = loose.typed_fields(_drifting(spark, folder), _LOOSE)
+    return found.select(
+        "event_id",
+        "ts",
+        "value",
+        F.try_variant_get("record", "$.value.amount", "double").alias("amount"),
+        F.try_variant_get("record", "$.props.k", "int").alias("k"),
+        F.col(loose.REASONS)["value"].alias("reason"),
+        F.size(loose.REASONS).alias("reasons"),
+    )
+
+
+def loose_types(spark: SparkSession, folder: str) -> DataFrame:
+    return loose.field_types(_drifting(spark, folder), _LOOSE)
+
+
+def read_in_ranges(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders read by ranges of a skewed key that is NULL for some, each range once."""
+    orders = table(spark, folder, "orders")
+    keyed = orders.withColumn(
+        "skewed", F.when(F.col("o_orderpriority") != "5-LOW", F.pow(F.col("o_custkey"), F.lit(3)).cast("bigint"))
+    )
+    parts = [keyed.where(condition) for condition in range_predicates("skewed", quantile_cuts(keyed, "skewed", 8))]
+    found = parts[0]
+    for part in parts[1:]:
+        found = found.unionByName(part)
+    return found.select("o_orderkey", "o_custkey", "o_totalprice", "skewed")
+
+
+def rows_of_busy_days(spark: SparkSession, folder: str) -> DataFrame:
+    """Events, lying by day, of the days whose errors add up to most; other days are not opened."""
+    events, root = table(spark, folder, "events"), new_path(spark, "by-day")
+    events.withColumn("day", F.col("ts").cast("date")).write.partitionBy("day").parquet(root)
+    fact = spark.read.schema(f"{events.schema.simpleString()[7:-1].replace(':', ' ')}, day date").parquet(root)
+    errors = events.where(F.col("event_type") == "error").groupBy(F.col("ts").cast("date").alias("day"))
+    days = write_table(errors.agg(F.count("*").alias("errors")), "error-days")
+    return rows_of_days(fact, days.where(F.col("errors") % 4 == 0), "day").select("event_id", "event_type", "day")
+
+
 QUERIES = {
+    "daily_from_states": daily_from_states,
+    "category_counts_from_states": category_counts_from_states,
+    "published_topics": published_topics,
+    "loose_events": loose_events,
+    "loose_types": loose_types,
+    "read_in_ranges": read_in_ranges,
+    "rows_of_busy_days": rows_of_busy_days,
     "replace_in_buckets": replace_in_buckets,
     "land_over_loads": land_over_loads,
     "landed_sessions": landed_sessions,
@@ -63,6 +174,44 @@ _LANDED = """
 """
 
 SQL = {
+    "daily_from_states": reports.SQL["daily_transactions"],
+    "category_counts_from_states": """
+        SELECT l_returnflag AS category_name, COUNT(DISTINCT l_orderkey) AS transactions_count
+        FROM lineitem GROUP BY l_returnflag
+    """,
+    "published_topics": """
+        SELECT event_type AS topic, COUNT(*) AS records, CAST(SUM(COUNT(*)) OVER () AS BIGINT) AS all_records
+        FROM events GROUP BY event_type
+    """,
+    "loose_events": """
+        SELECT event_id, ts, CASE WHEN event_type IN ('view', 'click') THEN round(value, 2) END AS value,
+               CASE WHEN event_type = 'purchase' THEN round(value, 2) END AS amount,
+               CAST(props->>'k' AS INTEGER) AS k, reason, CASE WHEN reason IS NULL THEN 0 ELSE 1 END AS reasons
+        FROM (
+            SELECT *, CASE event_type WHEN 'error' THEN 'string' WHEN 'purchase' THEN 'object'
+                      WHEN 'signup' THEN 'missing' END AS reason
+            FROM events
+        )
+    """,
+    "loose_types": """
+        SELECT field, kind, COUNT(*) AS records FROM (
+            SELECT 'event_id' AS field, 'number' AS kind FROM events
+            UNION ALL SELECT 'ts', 'string' FROM events
+            UNION ALL SELECT 'value', CASE event_type WHEN 'error' THEN 'string' WHEN 'view' THEN 'string'
+                WHEN 'purchase' THEN 'object' WHEN 'click' THEN 'number' ELSE 'missing' END FROM events
+        ) GROUP BY field, kind
+    """,
+    "read_in_ranges": """
+        SELECT o_orderkey, o_custkey, o_totalprice,
+               CASE WHEN o_orderpriority <> '5-LOW' THEN o_custkey * o_custkey * o_custkey END AS skewed
+        FROM orders
+    """,
+    "rows_of_busy_days": """
+        SELECT event_id, event_type, CAST(ts AS DATE) AS day FROM events
+        WHERE CAST(ts AS DATE) IN (
+            SELECT CAST(ts AS DATE) FROM events WHERE event_type = 'error' GROUP BY CAST(ts AS DATE) HAVING COUNT(*) % 4 = 0
+        )
+    """,
     "replace_in_buckets": """
         SELECT o_orderkey AS order_id, o_custkey AS user_id, o_orderdate AS order_date,
                CAST(CAST(o_totalprice AS DECIMAL(12,2)) + CASE WHEN o_custkey % 100 = 0 THEN 5

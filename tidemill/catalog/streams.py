@@ -13,6 +13,7 @@ from tidemill.scratch import new_path
 from tidemill.sinks.files import write_text
 from tidemill.sources.streams import folder_source
 from tidemill.streaming.decode import decode_records, message_text
+from tidemill.streaming.ledger import append_to_folder, committed_rows, ledger_batches
 from tidemill.streaming.runs import drain_to_text, start_batches
 from tidemill.streaming.sinks import checked_batches, folder_batches
 
@@ -114,7 +115,31 @@ def stream_restarted(spark: SparkSession, folder: str) -> DataFrame:
     return _written(spark, target)
 
 
+def stream_committed(spark: SparkSession, folder: str) -> DataFrame:
+    """An append-only sink: the first batch is appended once without a ledger row, and every batch is repeated."""
+    staged, ledger, unseen = (new_path(spark, name) for name in ("staged", "ledger", "unseen-ledger"))
+    topic = _topic(encode_rows(times_as_text(table(spark, folder, "events"))))
+    write, lose = (ledger_batches(append_to_folder(staged), path, "comments") for path in (ledger, unseen))
+
+    def write_repeatedly(batch: DataFrame, batch_id: int) -> None:
+        if batch_id == 0:
+            lose(batch, batch_id)
+        write(batch, batch_id)
+        write(batch, batch_id)
+
+    comments.stream_comments(
+        folder_source(spark, topic, "text", max_files=MAX_FILES),
+        write_repeatedly,
+        new_path(spark, "checkpoint"),
+        EVENT,
+        available_now=True,
+    ).awaitTermination()
+    rows = committed_rows(spark.read.parquet(staged), ledger)
+    return rows.withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+
+
 QUERIES = {
+    "stream_committed": stream_committed,
     "drain_messages": drain_messages,
     "stream_comments": stream_comments,
     "stream_rejects": stream_rejects,
@@ -127,6 +152,7 @@ _EVENTS = """
 """
 
 SQL = {
+    "stream_committed": _EVENTS,
     "drain_messages": "SELECT props AS value FROM events WHERE props IS NOT NULL",
     "stream_comments": _EVENTS,
     "stream_rejects": """

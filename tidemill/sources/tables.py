@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -43,3 +43,12 @@ def jdbc_options(
 def read_jdbc(spark: SparkSession, connection: Mapping[str, str], query: str, **partitioning) -> DataFrame:
     """Rows of a query in a relational database; see ``jdbc_options``."""
     return spark.read.format("jdbc").options(**jdbc_options(connection, query, **partitioning)).load()
+
+
+def read_jdbc_ranges(
+    spark: SparkSession, connection: Mapping[str, str], query: str, predicates: Sequence[str], *, fetch_size: int = 10_000
+) -> DataFrame:
+    """The same with one partition for each condition, such as those of ``ranges.range_predicates``."""
+    properties = {name: value for name, value in connection.items() if name != "url"} | {"fetchsize": str(fetch_size)}
+    source = f"({query.strip().rstrip(';')}) source_rows"
+    return spark.read.jdbc(connection["url"], source, predicates=list(predicates), properties=properties)
