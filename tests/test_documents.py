@@ -7,6 +7,8 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from tidemill import scratch
+from tidemill.operators import parts
 from tidemill.operators.parts import in_parts
 from tidemill.plans import documents
 from tidemill.sinks.files import write_documents
@@ -175,6 +177,40 @@ def test_oversized_booking_keeps_every_element(spark):
     assert [(row.part, row.parts, len(row.tickets)) for row in result if row.book_ref == "b2"] == [(0, 1, 10)]
 
 
+def test_parts_of_rows_over_many_slices(spark):
+    rows = spark.range(2000).selectExpr("CASE WHEN id < 1500 THEN 'large' ELSE concat('k', id % 50) END AS k", "(id * 7919) % 2000 AS at")
+    placed, several = in_parts(rows, ["k"], ["at"], part_size=11)
+    assert {row.k: row.parts for row in several.collect()} == {"large": 137}
+    found = {}
+    for row in placed.collect():
+        found.setdefault((row.k, row.part), []).append(row.at)
+    large = sorted(at for (k, _), values in found.items() for at in values if k == "large")
+    assert len(large) == 1500
+    assert all(sorted(found["large", n]) == large[11 * n : 11 * n + 11] for n in range(137))
+    assert all(part == 0 and len(values) == 10 for (k, part), values in found.items() if k != "large")
+
+
+def test_bookings_take_few_shuffles(spark, booked, monkeypatch):
+    plans = []
+
+    def shuffles(df):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        return plan.count("Exchange hashpartitioning") + plan.count("Exchange rangepartitioning")
+
+    def recorded(df, name):
+        plans.append(shuffles(df))
+        return scratch.write_table(df, name)
+
+    monkeypatch.setattr(documents, "write_table", recorded)
+    monkeypatch.setattr(parts, "write_table", recorded)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        built = documents.booking_document(*booked)
+        assert shuffles(built) + sum(plans) <= 9 and len(plans) == 2
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_null_keys_have_parts_too(spark):
     rows = spark.range(100).select(F.lit(None).cast("string").alias("k"), "id")
     placed, parts = in_parts(rows, ["k"], ["id"], part_size=10)
