@@ -25,7 +25,7 @@ def _raised(orders: DataFrame, amount: int) -> DataFrame:
 def replace_in_buckets(spark: SparkSession, folder: str) -> DataFrame:
     """All orders; the pending ones again; buckets merged; some customers' orders again, read unmerged."""
     orders, root = tables.orders(spark, folder), new_path(spark, "buckets")
-    append_delta(orders, root, ["order_id"], 1)
+    append_delta(orders, root, ["order_id"], 1, buckets=16)
     append_delta(_raised(orders.where(F.col("payment_status") == "P"), 1), root, ["order_id"], 2)
     compact_buckets(spark, root, ["order_id"])
     append_delta(_raised(orders.where(F.col("user_id") % 100 == 0), 5), root, ["order_id"], 3)
