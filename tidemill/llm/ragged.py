@@ -9,11 +9,14 @@ the slice size or the longest single text, never the batch or the partition.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import SparkSession
 
 SLICE_BYTES = 3 << 19
+_BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 _BASE = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(_BASE, -1, 1 << 64)
@@ -79,6 +82,17 @@ def slices(batch: pa.RecordBatch, column: str, size: int = SLICE_BYTES) -> Itera
         first = last
 
 
+@contextmanager
+def batches_of(spark: SparkSession, size: int) -> Iterator[None]:
+    """Jobs that start inside hand Python Arrow batches of ``size`` bytes; the session's setting returns after."""
+    before = spark.conf.get(_BATCH_BYTES)
+    spark.conf.set(_BATCH_BYTES, str(size))
+    try:
+        yield
+    finally:
+        spark.conf.set(_BATCH_BYTES, before)
+
+
 class Words:
     """Words of the texts of one slice: ``starts``, ``ends``, and ``first`` per document."""
 

@@ -39,6 +39,8 @@ SKETCH = BANDS * BAND_ROWS // 32
 # at most 4.5; pairs with more than this many are not fetched for comparison.
 DIFFERENT = 50
 _EMPTY = np.uint32(0xFFFFFFFF)
+# Bytes of texts, or of pairs of texts, handed to Python together, and of a slice of them.
+BATCH_BYTES, SLICE_BYTES = 8 << 20, 1 << 19
 
 
 def shingles(data: np.ndarray, offsets: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -110,7 +112,7 @@ _SIGNED = "id long, n_shingles long, mark_a long, mark_b long, bands array<long>
 def _signed(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part, data, offsets in ragged.slices(batch, "text"):
+            for part, data, offsets in ragged.slices(batch, "text", SLICE_BYTES):
                 elements, first = shingles(data, offsets, size)
                 count = np.diff(first)
                 marks = []
@@ -138,10 +140,10 @@ def _alike(size: int, percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             linked = []
-            for part, data, offsets in ragged.slices(batch, "text_a"):
+            for part, data, offsets in ragged.slices(batch, "text_a", SLICE_BYTES):
                 left, first_a = shingles(data, offsets, size)
                 inner = []
-                for other, data_b, offsets_b in ragged.slices(part, "text_b"):
+                for other, data_b, offsets_b in ragged.slices(part, "text_b", SLICE_BYTES):
                     right, first_b = shingles(data_b, offsets_b, size)
                     for k in range(other.num_rows):
                         a = left[first_a[len(inner)] : first_a[len(inner) + 1]]
@@ -160,21 +162,28 @@ def _alike(size: int, percent: int):
     return run
 
 
-def _sketches() -> list[str]:
-    return [f"sketch_{k}" for k in range(SKETCH)]
+def _carried() -> list[str]:
+    """What is compared before texts: the number of shingles and the sketch."""
+    return ["n_shingles", *[f"sketch_{k}" for k in range(SKETCH)]]
 
 
-def _different(left: str, right: str) -> Column:
-    """Number of components whose last bits differ, of two sketches by the prefixes of their columns."""
-    total = F.lit(0)
-    for name in _sketches():
-        bits = F.col(left + name).bitwiseXOR(F.col(right + name))
-        total = total + F.bit_count(bits.bitwiseOR(F.shiftright(bits, 1)).bitwiseAND(F.lit(0x5555555555555555)))
-    return total
+def _may_be_alike(percent: int) -> Column:
+    """Whether a row's numbers of shingles and sketch, and those with the prefix ``own_``, allow the similarity."""
+    different = F.lit(0)
+    for name in _carried()[1:]:
+        bits = F.col(name).bitwiseXOR(F.col(f"own_{name}"))
+        different = different + F.bit_count(bits.bitwiseOR(F.shiftright(bits, 1)).bitwiseAND(F.lit(0x5555555555555555)))
+    sizes = (F.col("n_shingles"), F.col("own_n_shingles"))
+    return (100 * F.least(*sizes) >= percent * F.greatest(*sizes)) & (different <= DIFFERENT)
 
 
-def _confirmed(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
-    """Those of the (a, b) whose full shingle sets are similar enough; ``texts``: id, text."""
+def _own(rows: DataFrame, *named: Column) -> DataFrame:
+    return rows.select(*named, *[F.col(name).alias(f"own_{name}") for name in _carried()])
+
+
+def _confirmed(pairs: DataFrame, plain: DataFrame, size: int, percent: int) -> DataFrame:
+    """Those of the (a, b) whose full shingle sets are similar enough; ``plain``: id, text."""
+    texts = plain.join(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "id", "left_semi")
     left = texts.select(F.col("id").alias("a"), F.col("text").alias("text_a"))
     right = texts.select(F.col("id").alias("b"), F.col("text").alias("text_b"))
     rows = pairs.join(right, "b").join(left, "a").select("a", "b", "text_a", "text_b")
@@ -182,22 +191,37 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> D
 
 
 def _open_buckets(members: DataFrame, groups: DataFrame) -> DataFrame:
-    """Members (key, id, component, top) of the buckets that hold several groups; ``top`` is the largest."""
+    """Members (key, id, component, top) of the buckets that hold several groups; ``top`` is the largest, of ``top_size``."""
     named = groups.select(F.col("id").alias("known"), "component")
     placed = members.join(named, members["id"] == named["known"], "left").select(
-        "key", "id", F.coalesce("component", "id").alias("component"), *_sketches()
+        "key", "id", F.coalesce("component", "id").alias("component"), *_carried()
     )
     sizes = placed.groupBy("key", "component").agg(F.count("*").alias("size"))
     largest = (
         sizes.groupBy("key")
         .agg(F.max(F.struct("size", "component")).alias("top"), F.count("*").alias("groups"))
         .where("groups > 1")
-        .select("key", F.col("top.component").alias("top"))
+        .select("key", F.col("top.component").alias("top"), F.col("top.size").alias("top_size"))
     )
     return join_splittable(placed, largest, ["key"])
 
 
-def _next_pairs(open_: DataFrame, centres: int, partners: int) -> tuple[DataFrame, DataFrame]:
+def _majority_pairs(open_: DataFrame, turn: int, partners: int, percent: int) -> DataFrame:
+    """Pairs of each member outside its buckets' largest groups with a few of one of those, others each ``turn``.
+
+    A member of a family joins it by one link, whichever member that is with, and most have a link with
+    a good part of the family: a few pairs for each, in one bucket of all it is in.
+    """
+    best = Window.partitionBy("id").orderBy(F.desc("top_size"), "key")
+    outside = open_.where(F.col("component") != F.col("top")).withColumn("turn", F.row_number().over(best))
+    first = _own(outside.where("turn = 1"), F.col("key").alias("at"), F.col("id").alias("outsider"))
+    some = Window.partitionBy("key").orderBy(F.xxhash64("id", F.lit(turn)), "id")
+    inside = open_.where(F.col("component") == F.col("top")).withColumn("turn", F.row_number().over(some))
+    met = inside.where(F.col("turn") <= partners).join(first, (F.col("key") == F.col("at")) & _may_be_alike(percent))
+    return met.select(F.least("outsider", "id").alias("a"), F.greatest("outsider", "id").alias("b"))
+
+
+def _next_pairs(open_: DataFrame, centres: int, partners: int, percent: int) -> tuple[DataFrame, DataFrame]:
     """Pairs of a bucket's first ``centres`` members outside its largest group with the first
     ``partners`` of each other group, and the buckets where there are more of either.
 
@@ -210,15 +234,17 @@ def _next_pairs(open_: DataFrame, centres: int, partners: int) -> tuple[DataFram
         "turn", F.row_number().over(Window.partitionBy("key").orderBy(mixed, "id"))
     )
     inside = open_.withColumn("turn", F.row_number().over(Window.partitionBy("key", "component").orderBy(mixed, "id")))
-    centre = outside.where(F.col("turn") <= centres).select(
+    centre = _own(
+        outside.where(F.col("turn") <= centres),
         F.col("key").alias("at"), F.col("id").alias("centre"), F.col("component").alias("own"),
-        *[F.col(name).alias(f"own_{name}") for name in _sketches()],
     )
-    near = (F.col("key") == F.col("at")) & (F.col("component") != F.col("own")) & (_different("", "own_") <= DIFFERENT)
+    near = (F.col("key") == F.col("at")) & (F.col("component") != F.col("own")) & _may_be_alike(percent)
     pairs = inside.where(F.col("turn") <= partners).join(centre, near)
     pairs = pairs.select(F.least("centre", "id").alias("a"), F.greatest("centre", "id").alias("b")).distinct()
-    later = outside.where(F.col("turn") > centres).select("key")
-    return pairs, later.union(inside.where(F.col("turn") > partners).select("key"))
+    # One beyond the limit tells that there are more, and lets Spark keep no others.
+    later = outside.where(F.col("turn") <= centres + 1).where(F.col("turn") > centres).select("key")
+    more = inside.where(F.col("turn") <= partners + 1).where(F.col("turn") > partners).select("key")
+    return pairs, later.union(more)
 
 
 def near_duplicates(documents: DataFrame, *, size: int = 5, percent: int = 80) -> DataFrame:
@@ -233,8 +259,9 @@ def near_duplicates(documents: DataFrame, *, size: int = 5, percent: int = 80) -
     Runs jobs, and keeps signatures, buckets and links in the shared folder.
     """
     plain = documents.select(F.col("doc_id").cast("long").alias("id"), "text")
-    signed = write_table(plain.mapInArrow(_signed(size), _SIGNED), "signatures")
-    groups = _groups(plain, signed, size, percent)
+    with ragged.batches_of(documents.sparkSession, BATCH_BYTES):
+        signed = write_table(plain.mapInArrow(_signed(size), _SIGNED), "signatures")
+        groups = _groups(plain, signed, size, percent)
     counted = signed.select(F.col("id").alias("doc_id"), "n_shingles")
     found = counted.join(groups.withColumnRenamed("id", "doc_id"), "doc_id", "left")
     component = F.coalesce("component", "doc_id")
@@ -260,28 +287,38 @@ def _groups(plain: DataFrame, signed: DataFrame, size: int, percent: int) -> Dat
     exploded = one_each.select("id", F.explode("bands").alias("key"))
     shared = exploded.groupBy("key").agg(F.min("id").alias("centre"), F.max("id").alias("last")).where("centre < last")
     shared = join_splittable(exploded, shared, ["key"]).select("key", "id", "centre")
-    sketches = one_each.select(F.col("id").alias("known"), *_sketches())
-    members = shared.join(sketches, F.col("id") == F.col("known")).drop("known")
+    carried = one_each.select(F.col("id").alias("known"), *_carried())
+    members = shared.join(carried, F.col("id") == F.col("known")).drop("known")
     members = write_table(members, "buckets")
-    compared = members.where("id > centre").select(F.col("centre").alias("a"), "id", *_sketches()).distinct()
-    first = sketches.select("known", *[F.col(name).alias(f"own_{name}") for name in _sketches()])
-    compared = compared.join(first, (F.col("a") == F.col("known")) & (_different("", "own_") <= DIFFERENT))
+    compared = members.where("id > centre").select(F.col("centre").alias("a"), "id", *_carried()).distinct()
+    first = _own(carried, F.col("known"))
+    compared = compared.join(first, (F.col("a") == F.col("known")) & _may_be_alike(percent))
     compared = write_table(compared.select("a", F.col("id").alias("b")).distinct(), "pairs")
-    texts = plain.join(compared.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "id", "left_semi")
-    groups = components(copies.unionByName(_confirmed(compared, texts, size, percent)))
-    members, centres, partners = members.drop("centre"), 64, 4
+    groups = components(copies.unionByName(_confirmed(compared, plain, size, percent)))
+    members, centres, partners, turn, helps = members.drop("centre"), 16, 4, 0, True
+    while helps:
+        open_ = write_table(_open_buckets(members, groups), "open-buckets")
+        turn += 1
+        pairs = _majority_pairs(open_, turn, partners, percent).join(compared, ["a", "b"], "left_anti")
+        further = write_table(pairs, "pairs")
+        tried = further.count()
+        links = write_table(_confirmed(further, plain, size, percent), "links-found")
+        known = groups.select(F.col("id").alias("a"), F.col("component").alias("b"))
+        groups = components(known.unionByName(links))
+        compared = compared.unionByName(further)
+        # Few links for many pairs: who is left has none with most of the family, or none at all.
+        helps = tried > 0 and links.count() * 8 >= tried
     while True:
         open_ = write_table(_open_buckets(members, groups), "open-buckets")
         if open_.isEmpty():
             return groups
-        pairs, later = _next_pairs(open_, centres, partners)
+        pairs, later = _next_pairs(open_, centres, partners, percent)
         further = write_table(pairs.join(compared, ["a", "b"], "left_anti"), "pairs")
         if further.isEmpty():
             if later.isEmpty():
                 return groups
         else:
             known = groups.select(F.col("id").alias("a"), F.col("component").alias("b"))
-            texts = plain.join(further.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "id", "left_semi")
-            groups = components(known.unionByName(_confirmed(further, texts, size, percent)))
+            groups = components(known.unionByName(_confirmed(further, plain, size, percent)))
             compared = compared.unionByName(further)
-        centres, partners = 64 * centres, 64 * partners
+        centres, partners = 16 * centres, 16 * partners
