@@ -37,6 +37,15 @@ def test_latest_rows_of_a_scan(spark, folder):
     assert latest_rows(scan.where("false"), ["k"], "n").count() == 0
 
 
+def test_rows_that_share_a_place_are_written_first(spark, folder):
+    spark.createDataFrame([("a", 1), ("b", 2)], "k string, n int").write.parquet(folder)
+    scan = spark.read.parquet(folder)
+    assert on_files(scan.where("n > 0").withColumn("x", F.lit(1))).inputFiles() == scan.inputFiles()
+    twice = [scan.crossJoin(spark.range(2)).drop("id"), scan.union(scan), scan.select("k", "n", F.explode(F.array(F.lit(1), F.lit(1)))).drop("col")]
+    for rows in twice:
+        assert tuples(latest_rows(on_files(rows), ["k"])) == [("a", 1), ("b", 2)]
+
+
 def test_winners_are_chosen_without_sorting_rows(spark, folder):
     spark.range(3000).selectExpr("CASE WHEN id % 3 = 0 THEN 7 ELSE id END AS k", "id AS n", "repeat('wide', 100) AS t").write.parquet(folder)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")

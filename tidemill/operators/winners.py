@@ -29,13 +29,23 @@ def place() -> Column:
     return (file + F.col("_metadata.row_index").cast("decimal(20,0)")).cast("decimal(38,0)")
 
 
+def _is_scan(df: DataFrame) -> bool:
+    """Whether ``df`` is a scan, filtered and projected only: joins, unions or explodes would repeat places."""
+    node = df._jdf.queryExecution().analyzed()
+    while node.nodeName() in ("Project", "Filter", "SubqueryAlias", "View"):
+        node = node.children().apply(0)
+    return node.children().isEmpty()
+
+
 def on_files(df: DataFrame, name: str = "rows") -> DataFrame:
-    """``df`` itself if it scans Parquet files, else written below the shared folder and read back."""
-    try:
-        df.select("_metadata.file_path", "_metadata.row_index").schema  # noqa: B018
-        return df
-    except AnalysisException:
-        return write_table(df, name)
+    """``df`` itself if it is a scan of Parquet files, else written below the shared folder and read back."""
+    if _is_scan(df):
+        try:
+            df.select("_metadata.file_path", "_metadata.row_index").schema  # noqa: B018
+            return df
+        except AnalysisException:
+            pass
+    return write_table(df, name)
 
 
 def lost_places(scan: DataFrame, keys: Sequence[str], order: str | None = None) -> DataFrame:
