@@ -4,11 +4,13 @@ from __future__ import annotations
 
 import random
 import re
+import time
 from itertools import combinations
 
 import numpy as np
 import pytest
 from llm_texts import sentence
+from pyspark.sql import functions as F
 
 from tidemill.llm import components, decontamination, line_runs, passage_chains, superminhash
 
@@ -133,6 +135,47 @@ def test_lines_equal_a_plain_count(frame):
         assert {r.doc_id: (r.n_lines, r.n_removed, r.text) for r in found} == expected
 
 
+@pytest.mark.parametrize(("least", "least_words"), [(1, 9), (3, 1), (2, 14)])
+def test_lines_of_maximal_runs_equal_all_pairs_of_places(frame, least, least_words):
+    """Every two places with the same line are extended as far as they agree; long runs go at the later place."""
+    source = random.Random(16)
+    lines = [sentence(source, source.randint(1, 7)) for _ in range(9)]
+    texts = ["\n".join(source.choice([*lines, "", " "]) for _ in range(source.randint(1, 25))) for _ in range(30)]
+    texts += [texts[3], "\n".join([lines[0]] * 12), texts[5] + "\n" + texts[9]]
+    places, split = [], [text.split("\n") for text in texts]
+    for n, own in enumerate(split):
+        places.append([k for k, line in enumerate(own) if words(line)])
+    gone = [set() for _ in texts]
+    for b in range(len(texts)):
+        for a in range(b + 1):
+            for shift in range(-len(places[b]) + 1, len(places[a])):
+                if a == b and shift >= 0:
+                    continue
+                run = []
+                for p in range(len(places[b]) + 1):
+                    at = p + shift
+                    if p < len(places[b]) and 0 <= at < len(places[a]) and split[b][places[b][p]] == split[a][places[a][at]]:
+                        run.append(places[b][p])
+                        continue
+                    if len(run) >= least and sum(len(words(split[b][k])) for k in run) >= least_words:
+                        gone[b].update(run)
+                    run = []
+    expected = {n: (len(gone[n]), "\n".join(x for k, x in enumerate(own) if k not in gone[n])) for n, own in enumerate(split)}
+    found = line_runs.remove_repeated_lines(frame(list(enumerate(texts))), min_lines=least, min_words=least_words).collect()
+    assert {r.doc_id: (r.n_removed, r.text) for r in found} == expected
+    assert 0 < sum(map(len, gone)) < sum(map(len, split))
+
+
+def test_texts_of_many_lines_are_rebuilt_in_one_pass(frame):
+    lines = [f"line {n} of it" for n in range(50_000)]
+    rows = [(1, "\n".join(lines[:25_000])), (2, "\n".join(lines))]
+    began = time.monotonic()
+    found = {r.doc_id: r for r in line_runs.remove_repeated_lines(frame(rows).withColumn("_gone", F.lit(1)), min_words=50).collect()}
+    assert time.monotonic() - began < 60
+    assert found[1].text == rows[0][1] and found[2].n_removed == 25_000 and found[2]["_gone"] == 1
+    assert found[2].text == "\n".join(lines[25_000:])
+
+
 def test_runs_are_the_longest_powers_of_two(frame):
     rows = [(1, "a\nb\nc\nd\ne\nx"), (2, "q\na\nb\nc\nd\ne"), (3, "c\nd\ny")]
     found = {(r.owner, r.pos): (r.lines, r.source, r.source_pos) for r in line_runs.repeated_runs(frame(rows)).collect()}

@@ -73,7 +73,7 @@ def op9_language(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op10_line_runs(spark: SparkSession, folder: str) -> DataFrame:
-    cleaned = line_runs.remove_repeated_lines(_table(spark, folder, "documents"))
+    cleaned = line_runs.remove_repeated_lines(_table(spark, folder, "documents"), min_words=50)
     return cleaned.select("doc_id", "n_lines", "n_removed", "text")
 
 
@@ -119,14 +119,28 @@ SQL: dict[str, str] = {
             SELECT doc_id, unnest(string_split(text, chr(10))) AS line,
                    generate_subscripts(string_split(text, chr(10)), 1) AS n
             FROM documents
-        ), marked AS (
-            SELECT doc_id, line, n,
-                   regexp_matches(line, '[^\\x20\\x09-\\x0D]')
-                   AND row_number() OVER (PARTITION BY line ORDER BY doc_id, n) > 1 AS gone
-            FROM lines
+        ), worded AS (
+            SELECT doc_id, line, n, row_number() OVER (PARTITION BY doc_id ORDER BY n) AS pos,
+                   len(regexp_extract_all(line, '[^\\x20\\x09-\\x0D]+')) AS words
+            FROM lines WHERE regexp_matches(line, '[^\\x20\\x09-\\x0D]')
+        ), matches AS (
+            SELECT later.doc_id, later.n, later.pos, later.words,
+                   earlier.doc_id AS source, earlier.pos - later.pos AS shift
+            FROM worded later JOIN worded earlier
+                ON later.line = earlier.line
+                AND (earlier.doc_id < later.doc_id OR (earlier.doc_id = later.doc_id AND earlier.pos < later.pos))
+        ), islands AS (
+            SELECT *, pos - row_number() OVER (PARTITION BY doc_id, source, shift ORDER BY pos) AS island
+            FROM matches
+        ), runs AS (
+            SELECT doc_id, n, sum(words) OVER (PARTITION BY doc_id, source, shift, island) AS run_words
+            FROM islands
+        ), gone AS (
+            SELECT DISTINCT doc_id, n FROM runs WHERE run_words >= 50
         )
-        SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_removed,
-               coalesce(string_agg(line, chr(10) ORDER BY n) FILTER (NOT gone), '') AS text
-        FROM marked GROUP BY doc_id
+        SELECT lines.doc_id, count(*) AS n_lines, count(gone.n) AS n_removed,
+               coalesce(string_agg(line, chr(10) ORDER BY lines.n) FILTER (gone.n IS NULL), '') AS text
+        FROM lines LEFT JOIN gone ON lines.doc_id = gone.doc_id AND lines.n = gone.n
+        GROUP BY lines.doc_id
     """,
 }
