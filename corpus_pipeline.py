@@ -27,11 +27,11 @@ def quality(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
 
 
 def repeated_lines(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """Later copies of line runs go, and with them documents that lose their last word.
+    """Later copies of line runs of 50 words or more go, and with them documents that lose their last word.
 
     ``n_chars`` becomes the length of the text that is left.
     """
-    cleaned = line_runs.remove_repeated_lines(docs)
+    cleaned = line_runs.remove_repeated_lines(docs, min_words=50)
     left = cleaned.where((F.col("n_removed") == 0) | F.col("text").rlike(_WORD))
     length = F.when(F.col("n_removed") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))
     return left.withColumn("n_chars", length).select(*docs.columns)
