@@ -118,30 +118,70 @@ def test_language_of_odd_rows(frame, odd_rows):
     assert language.predict_language(frame([])).count() == 0
 
 
-def test_code_lengths_are_those_of_the_counts(spark, frame):
+def plain_code_length(counts, data):
     """Frozen statistics by hand: each byte costs its share in the longest context met, or escapes."""
-    text, rows = "abcabd abc", [(n, "abcabd abc", "aa", "s", 0) for n in range(8) if fold(n, 4) != 2]
-    model = language.train(frame(rows))
-    counts = {}
-    for k in range(4):
-        for i in range(k, len(text)):
-            counts.setdefault(text[i - k : i], {}).setdefault(text[i], 0)
-            counts[text[i - k : i]][text[i]] += len(rows)
 
     def share(context, byte):
         seen = counts.get(context)
-        shorter = 1 / 256 if context == "" else None
         if seen is None:
             return share(context[1:], byte)
         whole = sum(seen.values()) + len(seen)
         if byte in seen:
             return seen[byte] / whole
-        return len(seen) / whole * (share(context[1:], byte) if shorter is None else shorter)
+        return len(seen) / whole * (1 / 256 if not context else share(context[1:], byte))
+
+    return -sum(np.log2(share(data[max(0, i - 3) : i], data[i])) for i in range(len(data)))
+
+
+def plain_counts(texts):
+    counts = {}
+    for text in texts:
+        data = text.lower().encode()
+        for i in range(len(data)):
+            for k in range(min(i, 3) + 1):
+                after = counts.setdefault(data[i - k : i], {})
+                after[data[i]] = after.get(data[i], 0) + 1
+    return counts
 
-    other = "abdz cab"
-    expected = -sum(np.log2(share(other[max(0, i - 3) : i], other[i])) for i in range(len(other)))
-    data = np.frombuffer(other.encode(), np.uint8)
-    assert abs(model.code_lengths(data, np.array([0, len(data)]))[0, 0] - expected) < 1e-3
+
+def test_code_lengths_are_those_of_the_counts(spark, frame):
+    rows = [(n, "abcabd abc", "aa", "s", 0) for n in range(8) if fold(n, 4) != 2]
+    model = language.train(frame(rows))
+    expected = plain_code_length(plain_counts(r[1] for r in rows), b"abdz cab")
+    data = np.frombuffer(b"abdz cab", np.uint8)
+    assert abs(model.code_lengths(data, np.array([0, len(data)]))[0, 0] - expected) < 1e-9
+
+
+@pytest.fixture(scope="module")
+def beside_a_hot_language():
+    """A language of many texts with many thousand contexts, and one of few texts whose own are all rare."""
+    source = random.Random(31)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    rows = [(n, "".join(source.choice(letters) for _ in range(400)), "hot", "s", 0) for n in range(150)]
+    rows += [(1000 + n, "".join(source.choice("\u0436\u0434\u043b\u0444\u044d\u0431\u044e") for _ in range(30)), "rare", "s", 0) for n in range(6)]
+    return rows + [(2000, None, "hot", "s", 0), (2001, rows[0][1], None, "s", 0), (2002, "", "rare", "s", 0)]
+
+
+def test_no_context_is_lost_beside_a_hot_language(frame, beside_a_hot_language):
+    model = language.train(frame(beside_a_hot_language))
+    texts = {lang: [r[1] for r in beside_a_hot_language if r[1] and r[2] == lang and fold(r[0], 4) != 2] for lang in ("hot", "rare")}
+    counts = {lang: plain_counts(texts[lang]) for lang in texts}
+    assert sum(len(context) == 3 for context in counts["hot"]) > 4096 and model.languages == ["hot", "rare"]
+    tried = [r[1].encode() for r in beside_a_hot_language[:3] + beside_a_hot_language[150:156]]
+    offsets = np.concatenate(([0], np.cumsum([len(x) for x in tried])))
+    found = model.code_lengths(np.frombuffer(b"".join(tried), np.uint8), offsets)
+    expected = [[plain_code_length(counts[lang], data) for lang in ("hot", "rare")] for data in tried]
+    assert np.allclose(found, expected, rtol=1e-9)
+
+
+def test_a_tree_in_parts_gives_the_same(frame, beside_a_hot_language):
+    rows = frame(beside_a_hot_language).selectExpr("*", "'x' AS _found", "1 AS lengths", "2 AS row")
+    one, many = (
+        {(r.doc_id, r.text): (r.lang_pred, r.held_out, round(r.score, 9), r["_found"], r.lengths) for r in found.collect()}
+        for found in (language.predict_language(rows), language.predict_language(rows, part_entries=40_000))
+    )
+    assert one == many and len(one) == len(beside_a_hot_language)
+    assert language.trained(rows, part_entries=40_000)[1] > 2
 
 
 @pytest.fixture(scope="module")

@@ -3,9 +3,14 @@
 Every language has a tree of byte contexts of up to three bytes with the counts of the byte
 that follows. The cost of a byte is that of the longest context of the tree that matches:
 seen there, its share of the counts; unseen, an escape, then the next shorter context, down
-to one in 256. Counts are taken by Spark over all training texts and then frozen; the tree is
-laid out as arrays, so that a slice of texts is scored with one gather per language and byte.
-A text's language is the one with the shortest code length.
+to one in 256. Counts are taken by Spark over all training texts and then frozen; no context
+is left out.
+
+A cost is a sum: what every context met adds for its escape, and what every byte seen in it adds
+beyond that (its cost there, less the escape and less its cost in the shorter context). So
+the tree is a table of numbers by language and key, which may be cut anywhere. It is cut into parts
+of bounded size by a hash; each is handed to all tasks in turn, and a text's code lengths are the
+sums over parts. A text's language is the one with the shortest code length.
 """
 
 from __future__ import annotations
@@ -15,54 +20,68 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemill.llm import ragged
 from tidemill.llm.held_out import fold, held_out
+from tidemill.operators.groups import join_splittable
 from tidemill.scratch import write_table
 
 FOLDS, HELD_OUT = 4, 2
 UNKNOWN = "und"
-# A tree keeps the most frequent contexts; fixed size of the model, whatever the corpus.
-CONTEXTS = 4096
-# Languages are configuration; more of them than this is taken for a wrong column.
-LANGUAGES = 512
+# Numbers of the tree, of 16 bytes each, that a task holds at a time; more of them take more passes.
+PART_ENTRIES = 4_000_000
 _ORDER = 3
+# A key is the number of bytes before, whether it is the context itself, and the bytes, the last one lowest.
+_ORDER_BIT, _CONTEXT = 33, 1 << 32
 
 
 @dataclass(frozen=True)
 class Model:
-    """Context numbers and, per language, bits for each byte in each context.
-
-    Context 0 is empty, 1 to 256 are single bytes; ``pair`` and ``triple`` give the numbers of
-    longer ones or 0.
-    """
+    """A part of the tree: its keys in order, and for each from ``first`` on the languages' numbers and bits."""
 
     languages: list[str]
-    pair: np.ndarray
-    triple: np.ndarray
+    keys: np.ndarray
+    first: np.ndarray
+    number: np.ndarray
     bits: np.ndarray
 
+    def _add(self, costs: np.ndarray, rows: np.ndarray, wanted: np.ndarray) -> None:
+        """Adds to the ``rows`` of ``costs`` what the part has for the keys ``wanted``."""
+        if not len(self.keys) or not len(wanted):
+            return
+        at = np.minimum(np.searchsorted(self.keys, wanted), len(self.keys) - 1)
+        hit = self.keys[at] == wanted
+        at, rows = at[hit], rows[hit]
+        times = self.first[at + 1] - self.first[at]
+        entry = np.repeat(self.first[at] - np.cumsum(times) + times, times) + np.arange(times.sum())
+        cell = np.repeat(rows, times) * costs.shape[1] + self.number[entry]
+        # A language has a key once, so no cell is met twice.
+        costs.reshape(-1)[cell] += self.bits[entry]
+
     def code_lengths(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-        """Bits of each text of a slice under each language."""
-        n = len(offsets) - 1
+        """What the part adds to the bits of each text of a slice under each language."""
+        lengths = np.zeros((len(offsets) - 1, len(self.languages)))
         if not len(data):
-            return np.zeros((n, len(self.languages)))
-        symbol = ragged.LOWER[data].astype(np.int64)
-        depth = np.arange(len(data)) - np.repeat(offsets[:-1], np.diff(offsets))
-        before = np.zeros(len(data), np.int64)
-        before[1:] = symbol[:-1]
-        context = np.where(depth > 0, before + 1, 0)
-        two = np.zeros(len(data), np.int64)
-        two[2:] = self.pair[before[1:-1] << 8 | before[2:]]
-        two[depth < 2] = 0
-        three = np.zeros(len(data), np.int64)
-        three[1:] = self.triple[two[:-1], before[1:]]
-        three[depth < 3] = 0
-        context = np.where(three > 0, three, np.where(two > 0, two, context))
-        cell = context << 8 | symbol
-        return np.stack([ragged.per_document(bits[cell].astype(np.float64), offsets) for bits in self.bits], 1)
+            return lengths
+        symbol = ragged.LOWER[data].astype(np.uint64)
+        depth = np.minimum(np.arange(len(data)) - np.repeat(offsets[:-1], np.diff(offsets)), _ORDER)
+        run = symbol.copy()
+        for k in range(1, _ORDER + 1):
+            run[k:] |= np.where(depth[k:] >= k, symbol[:-k] << np.uint64(8 * k), np.uint64(0))
+        kinds, which = np.unique(depth.astype(np.uint64) << np.uint64(32) | run, return_inverse=True)
+        depth, run = (kinds >> np.uint64(32)).astype(np.int64), (kinds & np.uint64(0xFFFFFFFF)).astype(np.int64)
+        costs = np.zeros((len(kinds), len(self.languages)))
+        for k in range(_ORDER + 1):
+            rows = np.flatnonzero(depth >= k)
+            order = k << _ORDER_BIT
+            own = run[rows] & ((1 << 8 * (k + 1)) - 1)
+            self._add(costs, rows, order | own)
+            self._add(costs, rows, order | _CONTEXT | own >> 8)
+        for n in range(len(self.languages)):
+            lengths[:, n] = ragged.per_document(np.ascontiguousarray(costs[:, n])[which], offsets)
+        return lengths
 
 
 def _grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -106,12 +125,8 @@ def _grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def train(documents: DataFrame, *, contexts: int = CONTEXTS) -> Model:
-    """Counts over all texts with a language outside the held-out fold, kept for the most frequent contexts.
-
-    What reaches the driver is bounded: the counts of ``contexts`` contexts of two and of three
-    bytes, and those of the single bytes.
-    """
+def _counts(documents: DataFrame) -> DataFrame:
+    """(lang, order, context, byte, times) over all texts with a language outside the held-out fold."""
     outside = F.coalesce(fold("doc_id", FOLDS) != HELD_OUT, F.lit(True))
     chosen = documents.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & outside)
     counts = (
@@ -128,101 +143,134 @@ def train(documents: DataFrame, *, contexts: int = CONTEXTS) -> Model:
     counts = counts.select("lang", "times", low.alias("run"), lengths)
     context = F.shiftright("run", 8).bitwiseAND(F.expr("shiftleft(1L, 8 * order) - 1"))
     counts = counts.select("lang", "order", context.alias("context"), F.col("run").bitwiseAND(255).alias("byte"), "times")
-    counts = counts.groupBy("lang", "order", "context", "byte").agg(F.sum("times").alias("times"))
-    counts = write_table(counts, "byte-contexts")
-    languages = [row["lang"] for row in counts.select("lang").distinct().orderBy("lang").limit(LANGUAGES + 1).collect()]
-    if len(languages) > LANGUAGES:
-        raise ValueError(f"more than {LANGUAGES} languages")
-    tops = [
-        counts.where(F.col("order") == k).groupBy("order", "context").agg(F.sum("times").alias("total"))
-        .orderBy(F.desc("total"), "context").limit(contexts)
-        for k in (2, 3)
-    ]
-    frequent = tops[0].union(tops[1]).select("order", "context")
-    kept = counts.where(F.col("order") < 2).unionByName(
-        counts.join(F.broadcast(frequent), ["order", "context"]).select(*counts.columns)
+    return counts.groupBy("lang", "order", "context", "byte").agg(F.sum("times").alias("times"))
+
+
+def entries(documents: DataFrame) -> DataFrame:
+    """(lang, key, bits): the whole tree, with the cost of an escape for each context and what a byte
+    seen there differs from that. Runs jobs, and keeps the counts in the shared folder."""
+    counts = write_table(_counts(documents), "byte-contexts")
+    place = ["lang", "order", "context"]
+    totals = counts.groupBy(*place).agg(F.sum("times").alias("total"), F.count("*").alias("kinds"))
+    whole = F.col("total") + F.col("kinds")
+    # Escape with the share of new bytes seen in the context; before any context a byte costs 8 bits.
+    escape = F.log2(whole / F.col("kinds")) + F.when(F.col("order") == 0, 8.0).otherwise(0.0)
+    totals = write_table(totals.select(*place, whole.alias("whole"), escape.alias("escape")), "contexts")
+    seen = counts.join(totals, place).select(*place, "byte", "escape", F.log2(F.col("whole") / F.col("times")).alias("cost"))
+    shorter = F.col("context").bitwiseAND(F.expr("shiftleft(1L, 8 * (order - 1)) - 1"))
+    first, longer = seen.where("order = 0"), seen.where("order > 0").withColumn("shorter", shorter)
+    below = seen.select(
+        "lang", (F.col("order") + 1).alias("order"), F.col("context").alias("shorter"), "byte", F.col("cost").alias("below")
     )
-    return _layout(languages, kept.toPandas(), contexts)
-
-
-def _layout(languages: list[str], counts, contexts: int) -> Model:
-    order, context = counts["order"].to_numpy(np.int64), counts["context"].to_numpy(np.int64)
-    pairs = np.unique(context[order == 2])
-    triples = np.unique(context[order == 3])
-    pair = np.zeros(1 << 16, np.int32)
-    pair[pairs] = 257 + np.arange(len(pairs))
-    # A context of three bytes is reached through its first two.
-    triples = triples[pair[triples >> 8] > 0]
-    triple = np.zeros((257 + len(pairs), 256), np.int32)
-    triple[pair[triples >> 8], triples & 255] = 257 + len(pairs) + np.arange(len(triples))
-    size = 257 + len(pairs) + len(triples)
-    parent = np.zeros(size, np.int64)
-    parent[257 : 257 + len(pairs)] = (pairs & 255) + 1
-    inner = pair[triples & 0xFFFF]
-    parent[257 + len(pairs) :] = np.where(inner > 0, inner, (triples & 255) + 1)
-    number = np.zeros(len(counts), np.int64)
-    number[order == 1] = context[order == 1] + 1
-    number[order == 2] = pair[context[order == 2]]
-    three = order == 3
-    number[three] = triple[pair[context[three] >> 8], context[three] & 255]
-    used = (order < 2) | (number > 0)
-    byte, times = counts["byte"].to_numpy(np.int64), counts["times"].to_numpy(np.float64)
-    lang = counts["lang"].to_numpy(object)
-    bits = np.zeros((len(languages), size * 256), np.float32)
-    bounds = (0, 1, 257, 257 + len(pairs), size)
-    for row, name in enumerate(languages):
-        table = np.zeros((size, 256))
-        mine = used & (lang == name)
-        np.add.at(table, (number[mine], byte[mine]), times[mine])
-        share = np.full((size, 256), 1 / 256)
-        for low, high in zip(bounds, bounds[1:], strict=False):
-            seen = table[low:high]
-            shorter = share[parent[low:high]] if low else np.full((1, 256), 1 / 256)
-            total, kinds = seen.sum(1, keepdims=True), (seen > 0).sum(1, keepdims=True)
-            # Escape with the share of new bytes seen in the context; a context never met passes on.
-            whole = np.maximum(total + kinds, 1)
-            escape = np.where(kinds > 0, kinds / whole, 1.0)
-            share[low:high] = np.where(seen > 0, seen / whole, escape * shorter)
-        bits[row] = -np.log2(share).ravel()
-    return Model(languages, pair, triple, bits)
-
-
-def predict_language(documents: DataFrame, *, contexts: int = CONTEXTS) -> DataFrame:
+    longer = longer.join(below, ["lang", "order", "shorter", "byte"])
+    order = F.shiftleft(F.col("order").cast("long"), _ORDER_BIT)
+    symbol = order.bitwiseOR(F.shiftleft("context", 8)).bitwiseOR(F.col("byte"))
+    return (
+        totals.select("lang", order.bitwiseOR(F.lit(_CONTEXT)).bitwiseOR(F.col("context")).alias("key"), F.col("escape").alias("bits"))
+        .unionByName(first.select("lang", symbol.alias("key"), (F.col("cost") - F.col("escape")).alias("bits")))
+        .unionByName(longer.select("lang", symbol.alias("key"), (F.col("cost") - F.col("below") - F.col("escape")).alias("bits")))
+    )
+
+
+def _part(table: DataFrame, languages: list[str]) -> Model:
+    rows = table.toPandas()
+    number = np.searchsorted(np.array(languages, dtype=object), rows["lang"].to_numpy(object)) if len(rows) else np.empty(0)
+    number, key = number.astype(np.int32), rows["key"].to_numpy(np.int64)
+    order = np.lexsort((number, key))
+    keys, times = ragged.sorted_runs(key[order])
+    first = np.concatenate(([0], np.cumsum(times)))
+    return Model(languages, keys, first, number[order], rows["bits"].to_numpy(np.float64)[order])
+
+
+def trained(documents: DataFrame, *, part_entries: int = PART_ENTRIES) -> tuple[list[str], int, DataFrame]:
+    """The languages, the number of parts, and the tree as (lang, key, bits, part).
+
+    A part has ``part_entries`` numbers at most but for the chance of hashing, for which a quarter is left.
+    """
+    tree = write_table(entries(documents), "byte-costs")
+    languages = sorted(row["lang"] for row in tree.select("lang").distinct().collect())
+    parts = 1 + tree.count() * 5 // (part_entries * 4)
+    tree = tree.withColumn("part", F.pmod(F.xxhash64("lang", "key"), F.lit(parts)).cast("int"))
+    if parts > 1:
+        # Files in order of the part, so that a part is read without the others.
+        tree = write_table(tree.repartitionByRange("part").sortWithinPartitions("part"), "byte-cost-parts")
+    return languages, parts, tree
+
+
+def train(documents: DataFrame) -> Model:
+    """The tree as one part, whatever its size; for corpora whose tree fits the driver."""
+    languages, _, tree = trained(documents)
+    return _part(tree.drop("part"), languages)
+
+
+def _lengths_under(model: Model, text: str | Column) -> Column:
+    @F.arrow_udf("array<double>")
+    def lengths(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        width = len(model.languages)
+        for column in texts:
+            found = [np.empty((0, width))]
+            for _, data, offsets in ragged.slices(pa.record_batch([column], ["text"]), "text"):
+                found.append(model.code_lengths(data, offsets))
+            flat = np.concatenate(found)
+            yield pa.ListArray.from_arrays(pa.array(np.arange(len(flat) + 1, dtype=np.int32) * width), pa.array(flat.ravel()))
+
+    return lengths(text)
+
+
+def _summed(documents: DataFrame, languages: list[str], parts: int, tree: DataFrame) -> DataFrame:
+    """(text_a, text_b, lengths): the sums over all parts for each different text, known by two hashes.
+
+    One pass over the texts for each part, written before the next, so that one part is held at a time.
+    """
+    marked = documents.select(F.xxhash64("text").alias("text_a"), F.xxhash64("text", F.lit(1)).alias("text_b"), "text")
+    found = None
+    for part in range(parts):
+        model = _part(tree.where(F.col("part") == part).drop("part"), languages)
+        one = marked.select("text_a", "text_b", F.lit(part).alias("part"), _lengths_under(model, "text").alias("lengths"))
+        # Equal texts have equal lengths.
+        one = write_table(one.groupBy("text_a", "text_b", "part").agg(F.max("lengths").alias("lengths")), "lengths")
+        found = one if found is None else found.unionByName(one)
+    listed = found.groupBy("text_a", "text_b").agg(F.array_sort(F.collect_list(F.struct("part", "lengths"))).alias("all"))
+    zeros = F.array_repeat(F.lit(0.0), len(languages))
+    total = F.aggregate("all", zeros, lambda sums, x: F.zip_with(sums, x["lengths"], lambda a, b: a + b))
+    return write_table(listed.select("text_a", "text_b", total.alias("lengths")), "lengths")
+
+
+def predict_language(documents: DataFrame, *, part_entries: int = PART_ENTRIES) -> DataFrame:
     """``documents`` with ``held_out``, ``lang_pred`` and ``score`` in place of their own such columns.
 
     The score is the share of the predicted language when all are equally likely beforehand. A
     text that is NULL or has no letter is ``und`` with score 0, and so is every text when
     no text with a language is there to learn from. Equal code lengths go to the first language
     by code point. Each of several equal rows is scored; an empty table gives an empty result.
+
+    Runs jobs, and keeps counts and the tree in the shared folder. The driver holds the names of the languages and
+    one part of the tree at a time; a tree of several parts takes a pass over the texts for each.
     """
-    model = train(documents, contexts=contexts)
+    languages, parts, tree = trained(documents, part_entries=part_entries)
+    names = documents.columns
+    row = F.struct(*names).alias("row")
+    if parts == 1:
+        model = _part(tree.drop("part"), languages)
+        scored = documents.select(row, _lengths_under(model, "text").alias("lengths"))
+    else:
+        sums = _summed(documents, languages, parts, tree)
+        marked = documents.select(row, F.xxhash64("text").alias("text_a"), F.xxhash64("text", F.lit(1)).alias("text_b"))
+        scored = join_splittable(marked, sums, ["text_a", "text_b"], "left")
 
-    @F.arrow_udf("struct<lang string, score double>")
-    def predict(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        names = np.array(model.languages, dtype=object)
-        for column in texts:
-            languages, scores = [np.empty(0, object)], [np.empty(0)]
-            batch = pa.record_batch([column], ["text"])
-            for part, data, offsets in ragged.slices(batch, "text"):
-                if len(names):
-                    lengths = model.code_lengths(data, offsets)
-                    best = lengths.argmin(1)
-                    over = np.minimum(lengths - lengths.min(1, keepdims=True), 1000)
-                    languages.append(names[best])
-                    scores.append(1 / np.exp2(-over).sum(1))
-                else:
-                    languages.append(np.full(part.num_rows, UNKNOWN, object))
-                    scores.append(np.zeros(part.num_rows))
-            yield pa.StructArray.from_arrays(
-                [pa.array(np.concatenate(languages), pa.string()), pa.array(np.concatenate(scores), pa.float64())],
-                ["lang", "score"],
-            )
+    def decided(lengths: Column) -> Column:
+        least = F.array_min(lengths)
+        shares = F.transform(lengths, lambda x: F.pow(F.lit(2.0), -F.least(x - least, F.lit(1000.0))))
+        lang = F.get(F.lit(languages) if languages else F.array().cast("array<string>"), F.array_position(lengths, least).cast("int") - 1)
+        return F.struct(lang.alias("lang"), F.try_divide(F.lit(1.0), F.aggregate(shares, F.lit(0.0), lambda a, b: a + b)).alias("score"))
 
-    letters = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
-    found = predict("text")
-    return documents.withColumns({"held_out": held_out("doc_id", FOLDS, HELD_OUT), "_found": found}).withColumns(
-        {
-            "lang_pred": F.when(letters, F.col("_found.lang")).otherwise(UNKNOWN),
-            "score": F.when(letters, F.col("_found.score")).otherwise(0.0),
-        }
-    ).drop("_found")
+    # The list of one gives the lengths a name, so that they are not made again for each use.
+    scored = scored.select("row", F.transform(F.array("lengths"), decided)[0].alias("found"))
+    usable = F.coalesce(F.col("row.text").rlike(r"\p{L}"), F.lit(False)) & F.col("found.lang").isNotNull()
+    new = {
+        "held_out": held_out("row.doc_id", FOLDS, HELD_OUT),
+        "lang_pred": F.when(usable, F.col("found.lang")).otherwise(UNKNOWN),
+        "score": F.when(usable, F.col("found.score")).otherwise(0.0),
+    }
+    kept = [new.pop(name).alias(name) if name in new else F.col("row")[name].alias(name) for name in names]
+    return scored.select(*kept, *[column.alias(name) for name, column in new.items()])
