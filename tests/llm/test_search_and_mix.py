@@ -108,19 +108,62 @@ def test_recall_holds_at_deep_prefixes(spark):
         assert deep.sum() > 30 and hits[deep].mean() >= 0.9
 
 
-def test_targets_fill_up_to_the_limit():
-    found = source_mix.targets([100, 1000, 10, 0], [5, 2, 1, 5])
-    assert found[0] == 200 and found[2] == 20 and found[3] == 0 and abs(sum(found) - 1665) < 1e-9
-    assert source_mix.targets([], []) == [] and source_mix.targets([0], [1.0]) == [0]
+def brute_targets(sizes, weights, share=1.5, most=2.0):
+    found = [0.0] * len(sizes)
+    left, open_ = share * sum(sizes), list(range(len(sizes)))
+    while open_:
+        whole = sum(weights[s] for s in open_)
+        full = [s for s in open_ if left * weights[s] / whole > most * sizes[s]]
+        if not full:
+            for s in open_:
+                found[s] = left * weights[s] / whole
+            break
+        for s in full:
+            found[s] = most * sizes[s]
+        left -= sum(found[s] for s in full)
+        open_ = [s for s in open_ if s not in set(full)]
+    return found
+
+
+@pytest.mark.parametrize("sizes", [[100, 1000, 10, 0], [], [0], [7], [0, 0, 0], [2**k for k in range(40)], [5, 5, 5, 5]])
+def test_targets_fill_up_to_the_limit(spark, sizes):
+    sources = spark.createDataFrame([(k, n) for k, n in enumerate(sizes)], "number long, size long")
+    found = [r.target for r in source_mix.targets(sources).orderBy("number").collect()]
+    assert found == brute_targets(sizes, [5, 2, 1] * len(sizes))
+    if len(sizes) == 4 and sizes[1] == 1000:
+        assert found[0] == 200 and found[2] == 20 and found[3] == 0 and abs(sum(found) - 1665) < 1e-9
+
+
+def test_many_sources_are_dealt_in_groups(spark, frame):
+    source = random.Random(8)
+    rows = [(n, sentence(source, source.randint(1, 300)), "en", f"site{n % 211}", 0) for n in range(700)]
+    documents = frame(rows)
+    plans = []
+    for groups in (None, 7):
+        sized = source_mix._sized(documents, source_mix.BLOCK_WORDS)
+        made = source_mix.plan(sized, shards=8, groups=groups).orderBy("number").collect()
+        assert [r.source for r in made] == sorted({r[3] for r in rows})
+        aims = brute_targets([r.source_size for r in made], [5, 2, 1] * 211)
+        assert [r.target for r in made] == aims
+        starts = np.array([np.frombuffer(r.starts, np.int64) for r in made])
+        assert (starts[:, -1] == [r.quota for r in made]).all() and (np.diff(starts) >= 0).all()
+        shards = np.diff(starts).sum(0)
+        assert shards.max() - shards.min() <= 1
+        plans.append([(r.source, r.target, r.quota) for r in made])
+    assert plans[0] == plans[1]
+    found = source_mix.mix(documents, shards=8, groups=7).collect()
+    slots = Counter((r.source, b.slot) for r in found for b in r.blocks)
+    assert set(slots.values()) == {1} and len(slots) == sum(q for *_, q in plans[0])
+    assert all(r.taken <= 2 * r["size"] for r in found)
 
 
 def test_the_tree_deals_every_block_once():
     quotas = [1000, 37, 0, 5 * 10**10]
-    counts = source_mix.deal(quotas, 12, seed=3)
+    counts = source_mix.deal(quotas, 12, [3])
     assert counts.sum(0).tolist() == quotas and counts.min() >= 0
-    assert counts.sum(1).max() - counts.sum(1).min() <= 12
-    assert (counts == source_mix.deal(quotas, 12, seed=3)).all()
-    small = np.array([source_mix.deal([30, 70], 2, seed=s)[0, 0] for s in range(800)])
+    assert counts.sum(1).max() - counts.sum(1).min() <= 1
+    assert (counts == source_mix.deal(quotas, 12, [3])).all()
+    small = np.array([source_mix.deal([30, 70], 2, [s])[0, 0] for s in range(800)])
     assert abs(small.mean() - 15) < 0.4 and abs(small.var() - 50 * 0.3 * 0.7 * 50 / 99) < 1.2, "hypergeometric"
 
 
@@ -145,7 +188,7 @@ def test_mix_takes_disjoint_blocks_near_the_targets(frame, mixed_rows):
     for _, text, _, name, _ in mixed_rows:
         sizes[name] += len(words(text))
     order = sorted(sizes, key=lambda s: (s is None, s or ""))
-    aims = dict(zip(order, source_mix.targets([sizes[s] for s in order], [5, 2, 1] * 3), strict=True))
+    aims = dict(zip(order, brute_targets([sizes[s] for s in order], [5, 2, 1] * 3), strict=True))
     assert Counter((r.doc_id, r.source, r["size"]) for r in found) == Counter((n, s, len(words(t))) for n, t, _, s, _ in mixed_rows)
     taken = Counter()
     for r in found:
@@ -179,9 +222,8 @@ def test_mix_of_odd_rows(frame, odd_rows):
     found = source_mix.mix(frame(odd_rows)).collect()
     assert len(found) == len(odd_rows)
     assert all(r.taken == 0 for r in found if r["size"] == 0)
-    assert source_mix.mix(frame([])).count() == 0
-    with pytest.raises(ValueError):
-        source_mix.mix(frame([(n, "a", "en", f"s{n}", 1) for n in range(5)]), shards=1_000_000)
+    assert source_mix.mix(frame([])).count() == 0 and source_mix.shard_texts(frame([])).count() == 0
+    assert len({r.shard for r in source_mix.shard_texts(frame(odd_rows), shards=4).collect()}) == 4
 
 
 def test_every_operator_is_registered():
