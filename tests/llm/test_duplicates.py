@@ -8,6 +8,7 @@ import time
 from itertools import combinations
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from llm_texts import sentence
 from pyspark.sql import functions as F
@@ -115,6 +116,26 @@ def test_components_of_chains_and_stars(spark):
     assert components.components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+def test_forests_of_bounded_size_keep_what_is_linked(monkeypatch):
+    monkeypatch.setattr(components, "FOREST_NODES", 10)
+    source = random.Random(3)
+    links = [tuple(source.sample(range(k, 400, 4), 2)) for k in range(4) for _ in range(300)]
+    batches = [pa.record_batch([pa.array([x for x, _ in links[k : k + 7]]), pa.array([y for _, y in links[k : k + 7]])], ["a", "b"]) for k in range(0, len(links), 7)]
+    rows = [(a, b) for batch in components._forest(iter(batches)) for a, b in zip(batch.column("a").to_pylist(), batch.column("b").to_pylist(), strict=True)]
+    assert sum(len(b) for b in components._forest(iter(batches[:1]))) <= 7
+
+    def groups(pairs):
+        found = {x: {x} for x in range(400)}
+        for a, b in pairs:
+            if found[a] is not found[b]:
+                found[a] |= found[b]
+                for x in found[b]:
+                    found[x] = found[a]
+        return {frozenset(g) for g in found.values()}
+
+    assert groups(rows) == groups(links)
+
+
 def test_lines_equal_a_plain_count(frame):
     source = random.Random(6)
     lines = ["", "  ", *[sentence(source, source.randint(1, 4)) for _ in range(12)]]
@@ -360,3 +381,12 @@ def test_leaks_of_odd_rows(spark, frame, odd_rows):
     assert decontamination.leaks(frame(odd_rows), none).count() == 0
     assert decontamination.decontaminate(frame(odd_rows), none).count() == len(odd_rows)
     assert decontamination.leaks(frame([]), benchmark).count() == 0
+
+
+def test_clean_documents_keep_columns_of_any_name(spark, frame):
+    item = "one test item of ten words that nobody else has"
+    documents = frame([(1, item), (2, "clean words only"), (None, None)]).selectExpr("*", "1 AS leaks", "2 AS _leaks")
+    benchmark = spark.createDataFrame([(1, item)], "item_id long, text string")
+    left = decontamination.decontaminate(documents, benchmark)
+    assert left.columns == documents.columns
+    assert sorted((r.doc_id or 0, r.leaks, r["_leaks"]) for r in left.collect()) == [(0, 1, 2), (2, 1, 2)]

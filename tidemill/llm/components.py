@@ -12,10 +12,22 @@ from tidemill.operators.groups import join_splittable
 from tidemill.scratch import write_table
 
 
+# Nodes that a task holds at a time.
+FOREST_NODES = 1_000_000
+
+
 def _forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Union-find over the links of a partition, so that a link per node is left of it."""
+    """Union-find over the links of a partition, so that a link per node is left of each ``FOREST_NODES``."""
     parent: dict[int, int] = {}
 
+    def grown() -> Iterator[pa.RecordBatch]:
+        nodes = [x for x in parent if root(x) != x]
+        for k in range(0, len(nodes), 100_000):
+            part = nodes[k : k + 100_000]
+            tops = pa.array([root(x) for x in part], pa.int64())
+            yield pa.RecordBatch.from_arrays([pa.array(part, pa.int64()), tops], ["a", "b"])
+        parent.clear()
+
     def root(x: int) -> int:
         top = x
         while (up := parent.get(top, top)) != top:
@@ -28,10 +40,9 @@ def _forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for a, b in zip(batch.column("a").to_pylist(), batch.column("b").to_pylist(), strict=True):
             a, b = root(a), root(b)
             parent[max(a, b)] = min(a, b)
-    nodes = [x for x in parent if root(x) != x]
-    for k in range(0, len(nodes), 100_000):
-        part = nodes[k : k + 100_000]
-        yield pa.RecordBatch.from_arrays([pa.array(part, pa.int64()), pa.array([root(x) for x in part], pa.int64())], ["a", "b"])
+        if len(parent) > FOREST_NODES:
+            yield from grown()
+    yield from grown()
 
 
 def _toward_least(links: DataFrame, larger: bool) -> DataFrame:

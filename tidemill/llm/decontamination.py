@@ -225,8 +225,15 @@ def _seeded(documents: DataFrame, ids: list[int], texts: list[str]) -> Items:
     return items
 
 
+def _leaks_found(documents: DataFrame, benchmark: DataFrame) -> Column:
+    found = F.array().cast(_FOUND)
+    for ids, texts in _parts(benchmark):
+        found = F.concat(found, _finder(_seeded(documents, ids, texts)))
+    return found
+
+
 def with_leaks(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """``documents`` with ``leaks``: the items found in each text, as item_id, score, first_word, end_word.
+    """``documents`` with ``leaks`` in place of their own such column: the items found in each text, as item_id, score, first_word, end_word.
 
     The score is that of the best alignment as a share of the item's highest, ``SCORE`` at
     least; words count from 0, the end is exclusive. Words are compared in lower case (A to Z).
@@ -236,10 +243,7 @@ def with_leaks(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
 
     Runs jobs: the corpus is read once for each part of the benchmark.
     """
-    found = F.array().cast(_FOUND)
-    for ids, texts in _parts(benchmark):
-        found = F.concat(found, _finder(_seeded(documents, ids, texts)))
-    return documents.withColumn("leaks", found)
+    return documents.withColumn("leaks", _leaks_found(documents, benchmark))
 
 
 def leaks(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -248,7 +252,5 @@ def leaks(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 
 def decontaminate(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The ``documents`` in which no item is found, with the columns they have."""
-    marked = with_leaks(documents.withColumnsRenamed({"leaks": "_leaks"}), benchmark)
-    clean = marked.where(F.size("leaks") == 0).drop("leaks")
-    return clean.withColumnsRenamed({"_leaks": "leaks"})
+    """The ``documents`` in which no item is found, with the columns they have, whatever their names."""
+    return documents.where(F.size(_leaks_found(documents, benchmark)) == 0)
