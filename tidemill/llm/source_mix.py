@@ -33,6 +33,8 @@ SHARDS = 256
 PLAN_COUNTS = 1_000_000
 # Documents whose places are added up in one task.
 RUN_ROWS = 20_000
+# Bytes of rows handed to Python together; each row carries its source's part of the plan.
+BATCH_BYTES = 1 << 20
 
 
 def word_count(text: str) -> Column:
@@ -233,7 +235,7 @@ def mix(documents: DataFrame, *, block_words: int = BLOCK_WORDS, seed: int = 7,
     rows have places of their own. The result follows from the rows and the seed, not from their
     order. An empty table gives an empty result. ``options`` are those of ``plan``.
 
-    Runs jobs, and keeps sizes and the plan in the shared folder.
+    Runs jobs, and keeps sizes, the plan and the result in the shared folder.
     """
     sized = write_table(_sized(documents, block_words), "sizes")
     made = plan(sized, seed=seed, **options)
@@ -291,7 +293,9 @@ def mix(documents: DataFrame, *, block_words: int = BLOCK_WORDS, seed: int = 7,
                     ["doc_id", "source", "mark", "size", "source_size", "target", "taken", "blocks"],
                 )
 
-    return join_splittable(_placed(sized), made, ["source"], null_safe=True).mapInArrow(drawn, _DRAWN)
+    rows = join_splittable(_placed(sized), made, ["source"], null_safe=True)
+    with ragged.batches_of(documents.sparkSession, BATCH_BYTES):
+        return write_table(rows.mapInArrow(drawn, _DRAWN), "mixed-blocks")
 
 
 def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
