@@ -354,3 +354,14 @@ def test_stream_message_round_trip(spark):
     serving_rows = clean.conform_to_schema(typed, schemas.comments_serving())
     assert serving_rows.schema["score"].dataType.simpleString() == "int"
     assert isinstance(serving_rows.schema, StructType)
+
+
+def test_migrated_totals_may_pass_those_of_a_row(spark, folder):
+    logs = spark.createDataFrame([(n, "a") for n in range(3)], "transaction_id long, category string")
+    rows = [(n, dt.datetime(2024, 1, 5), Decimal(f"60000000000{n}.25")) for n in range(3)]
+    deals = spark.createDataFrame(rows, "transaction_id long, transaction_date timestamp, amount decimal(14,2)")
+    serving.migrate_categories(logs, deals, folder + "-c", 1)
+    serving.migrate_days(deals, folder + "-d", 1)
+    for root in (folder + "-c", folder + "-d"):
+        found = spark.read.parquet(root).select("transactions_count", "total_amount", "avg_amount")
+        assert tuples(found) == [(3, Decimal("1800000000003.75"), Decimal("600000000001.25"))]

@@ -57,14 +57,24 @@ def normalize_results(
     )
 
 
-def serving_types(results: DataFrame, *, count_type: str = COUNT_TYPE, money_type: str = MONEY_TYPE) -> DataFrame:
-    """Normalized results in the types of the serving table; a value that does not fit fails the job."""
+def serving_types(
+    results: DataFrame,
+    *,
+    count_type: str = COUNT_TYPE,
+    money_type: str = MONEY_TYPE,
+    total: str = "total_amount",
+    total_type: str | None = None,
+) -> DataFrame:
+    """Normalized results in the types of the serving table; a value that does not fit fails the job.
+
+    ``total_type``: of the column ``total``, which grows with the rows behind it, if it is not ``money_type``.
+    """
     types = {WIDE_COUNT: count_type, WIDE_MONEY: money_type}
+    wanted = {name: types[kind] for name, kind in results.dtypes if kind in types}
+    if total_type is not None:
+        wanted[total] = total_type
     return results.select(
-        [
-            exactly(F.col(name), types[kind]).alias(name) if kind in types else F.col(name)
-            for name, kind in results.dtypes
-        ]
+        [exactly(F.col(name), wanted[name]).alias(name) if name in wanted else F.col(name) for name in results.columns]
     )
 
 
@@ -83,12 +93,12 @@ def replace_aggregates(results: DataFrame, root: str, load_id: int) -> None:
 
 
 def migrate_days(transactions: DataFrame, root: str, load_id: int) -> None:
-    """Load the daily report into its keyed serving table."""
+    """Load the daily report into its keyed serving table, whose totals are wide."""
     days = normalize_results(daily_transactions(transactions), key="transaction_date", key_type="date")
-    replace_aggregates(serving_types(days), root, load_id)
+    replace_aggregates(serving_types(days, total_type=WIDE_MONEY), root, load_id)
 
 
 def migrate_categories(logs: DataFrame, transactions: DataFrame, root: str, load_id: int) -> None:
-    """Load the category report into its keyed serving table."""
+    """Load the category report into its keyed serving table, whose totals are wide."""
     categories = normalize_results(category_rollup(logs, transactions), key="category_name")
-    replace_aggregates(serving_types(categories), root, load_id)
+    replace_aggregates(serving_types(categories, total_type=WIDE_MONEY), root, load_id)
