@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -227,3 +228,15 @@ def test_collection_keeps_null_fields(aircraft, seats, folder, spark):
     assert sorted(map(tuple, again.collect())) == sorted(map(tuple, built.collect()))
     write_documents(built, folder + "-nested", file_format="parquet")
     assert spark.read.parquet(folder + "-nested").count() == 2
+
+
+def test_json_collections_are_compressed_in_bounded_files(spark, folder, monkeypatch):
+    monkeypatch.setattr("tidemill.sinks.files.FILE_DOCUMENTS", 40)
+    rows = spark.range(100).select("id", F.lit("x" * 500).alias("text")).coalesce(1)
+    write_documents(rows, folder)
+    files = [name for name in os.listdir(folder) if name.startswith("part-")]
+    assert len(files) == 3 and all(name.endswith(".json.gz") for name in files)
+    assert sum(os.path.getsize(f"{folder}/{name}") for name in files) < 10_000
+    assert read_json_doc(spark, folder, schema=rows.schema, one_per_line=True).exceptAll(rows).isEmpty()
+    write_documents(rows, folder + "-plain", options={"compression": "none"})
+    assert all(not name.endswith(".gz") for name in os.listdir(folder + "-plain"))

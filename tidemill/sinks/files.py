@@ -7,6 +7,9 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+# Documents of a compressed file at most.
+FILE_DOCUMENTS = 1_000_000
+
 
 def write_parquet(df: DataFrame, path: str, *, mode: str = "overwrite") -> None:
     df.write.mode(mode).parquet(path)
@@ -48,8 +51,12 @@ def write_documents(
     mode: str = "error",
 ) -> None:
     """A document collection: JSON lines or nested Parquet files, or any installed
-    document-store connector by its format name and options."""
-    writer = documents.write.format(file_format).mode(mode).options(**(options or {}))
+    document-store connector by its format name and options.
+
+    JSON is compressed, as every document repeats its field names and shared objects; such a file is read
+    by one task, so it holds ``FILE_DOCUMENTS`` at most. ``options`` may say otherwise.
+    """
+    writer = documents.write.format(file_format).mode(mode)
     if file_format == "json":
-        writer = writer.option("ignoreNullFields", "false")
-    writer.save(target)
+        writer = writer.options(ignoreNullFields="false", compression="gzip", maxRecordsPerFile=str(FILE_DOCUMENTS))
+    writer.options(**(options or {})).save(target)
