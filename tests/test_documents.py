@@ -9,6 +9,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemill import scratch
+from tidemill.catalog import documents as on_tables
+from tidemill.catalog.tables import LAYOUTS
 from tidemill.operators import parts
 from tidemill.operators.parts import in_parts
 from tidemill.plans import documents
@@ -240,3 +242,22 @@ def test_json_collections_are_compressed_in_bounded_files(spark, folder, monkeyp
     assert read_json_doc(spark, folder, schema=rows.schema, one_per_line=True).exceptAll(rows).isEmpty()
     write_documents(rows, folder + "-plain", options={"compression": "none"})
     assert all(not name.endswith(".gz") for name in os.listdir(folder + "-plain"))
+
+
+def test_derived_columns_of_flights_follow_the_joins(aircraft, seats, flights, airports):
+    crafts = documents.written_documents(documents.aircraft_seat_document(aircraft, seats))
+    plain = flights.drop("scheduled_duration", "actual_duration")
+    given = {"scheduled_duration": F.lit("24:00:00"), "actual_duration": F.concat("flight_no", F.lit("-marked"))}
+    built = documents.flight_document(plain, crafts, airports, derived=given)
+    whole = documents.flight_document(flights.withColumns(given), crafts, airports)
+    assert built.exceptAll(whole).isEmpty() and whole.exceptAll(built).isEmpty() and not built.isEmpty()
+    plan = built._jdf.queryExecution().optimizedPlan().toString()
+    assert "-marked" in plan.split("Join", 1)[0] and "-marked" not in plan.split("Join", 1)[1]
+
+
+def test_flights_of_the_tables_derive_times_after_the_joins(spark, folder):
+    for name in ("customer", "lineitem", "nation", "orders", "part", "region", "supplier"):
+        spark.createDataFrame([], LAYOUTS[name]).write.parquet(f"{folder}/{name}.parquet")
+    built = on_tables.flight_document(spark, folder)
+    plan = built._jdf.queryExecution().optimizedPlan().toString()
+    assert "make_dt_interval" in plan.split("Join", 1)[0] and "make_dt_interval" not in plan.split("Join", 1)[1]

@@ -92,16 +92,9 @@ def _flights(spark: SparkSession, folder: str) -> DataFrame:
         F.when(F.col("l_linestatus") == "F", F.col("l_shipdate")).alias("actual_departure"),
         F.col("l_quantity").cast("int").alias("hours"),
     )
-    scheduled, actual = F.expr("INTERVAL '1' DAY"), F.expr("make_dt_interval(0, hours)")
     return (
         lines.join(orders, "l_orderkey")
         .join(suppliers, "l_suppkey")
-        .withColumns(
-            {
-                "scheduled_arrival": F.col("scheduled_departure") + scheduled,
-                "actual_arrival": F.col("actual_departure") + actual,
-            }
-        )
         .select(
             F.col("l_orderkey").alias("flight_id"),
             "flight_no",
@@ -114,19 +107,28 @@ def _flights(spark: SparkSession, folder: str) -> DataFrame:
             "arrival_airport_name",
             "arrival_city",
             "scheduled_departure",
-            F.col("scheduled_departure").alias("scheduled_departure_local"),
-            "scheduled_arrival",
-            F.col("scheduled_arrival").alias("scheduled_arrival_local"),
-            interval_text(F.col("scheduled_arrival") - F.col("scheduled_departure")).alias("scheduled_duration"),
             "actual_departure",
-            F.col("actual_departure").alias("actual_departure_local"),
-            "actual_arrival",
-            F.col("actual_arrival").alias("actual_arrival_local"),
-            interval_text(F.col("actual_arrival") - F.col("actual_departure")).alias("actual_duration"),
+            "hours",
         )
     )
 
 
+def _flight_times() -> dict[str, Column]:
+    """The times of a flight that follow from its departures and hours; a scheduled flight takes a day."""
+    leaves, left = F.col("scheduled_departure"), F.col("actual_departure")
+    arrives, arrived = leaves + F.expr("INTERVAL '1' DAY"), left + F.expr("make_dt_interval(0, hours)")
+    return {
+        "scheduled_departure_local": leaves,
+        "scheduled_arrival": arrives,
+        "scheduled_arrival_local": arrives,
+        "scheduled_duration": interval_text(arrives - leaves),
+        "actual_departure_local": left,
+        "actual_arrival": arrived,
+        "actual_arrival_local": arrived,
+        "actual_duration": interval_text(arrived - left),
+    }
+
+
 def flight_document(spark: SparkSession, folder: str) -> DataFrame:
     aircraft = documents.aircraft_seat_document(
         _parts(spark, folder), _seats(spark, folder, "l_partkey"), classes=FLAG_CLASSES
@@ -136,6 +138,7 @@ def flight_document(spark: SparkSession, folder: str) -> DataFrame:
         documents.written_documents(aircraft),
         _airports(spark, folder),
         classes=FLAG_CLASSES,
+        derived=_flight_times(),
     )
     objects = ("aircraft", "departure_airport", "arrival_airport", "flight_time")
     return built.withColumns({name: F.to_json(name, JSON_TEXT) for name in objects})
@@ -212,6 +215,7 @@ def document_collections(spark: SparkSession, folder: str) -> DataFrame:
         },
         write,
         classes=FLAG_CLASSES,
+        derived=_flight_times(),
     )
     keys = {"aircrafts": "aircraft_code", "flights": "flight_id", "bookings": "book_ref"}
     found = []

@@ -88,12 +88,15 @@ def flight_document(
     airports: DataFrame,
     *,
     classes: Mapping[str, str] = SEAT_CLASSES,
+    derived: Mapping[str, Column] | None = None,
 ) -> DataFrame:
     """Each flight with aircraft, departure airport, arrival airport and time objects.
 
     ``aircraft_documents`` is what ``aircraft_seat_document`` returns, preferably written
     and read back: joined as a plain table, a hot aircraft's flights can be split by
     adaptive execution. A flight has a document for each part of its aircraft.
+    ``derived``: columns of a flight that follow from its others, made after the joins so that
+    the shuffle by aircraft, which takes every flight, does not carry them.
     """
     aircraft = F.struct("aircraft_code", "model", "range", *classes)
     lookup = aircraft_documents.select("aircraft_code", "part", "parts", aircraft.alias("aircraft"))
@@ -104,7 +107,7 @@ def flight_document(
             F.struct("coordinates", "timezone").alias(f"{role}_info"),
         )
         joined = joined.join(lookup, role)
-    return joined.select(
+    return joined.withColumns(dict(derived or {})).select(
         "flight_id",
         "flight_no",
         "part",
@@ -155,17 +158,19 @@ def write_collections(
     *,
     classes: Mapping[str, str] = SEAT_CLASSES,
     part_size: int = PART_SIZE,
+    derived: Mapping[str, Column] | None = None,
 ) -> None:
     """Build the three collections and give each, with its name, to ``write``.
 
     ``tables``: ``aircraft``, ``seats``, ``flights``, ``airports``, ``bookings``, ``tickets``,
-    ``ticket_flights`` and ``boarding_passes``.
+    ``ticket_flights`` and ``boarding_passes``; ``derived``: of flights, as in ``flight_document``.
     """
     aircraft = written_documents(
         aircraft_seat_document(tables["aircraft"], tables["seats"], classes=classes, part_size=part_size)
     )
     write(aircraft, "aircrafts")
-    write(flight_document(tables["flights"], aircraft, tables["airports"], classes=classes), "flights")
+    flights = flight_document(tables["flights"], aircraft, tables["airports"], classes=classes, derived=derived)
+    write(flights, "flights")
     bookings = booking_document(
         tables["bookings"],
         tables["tickets"],
