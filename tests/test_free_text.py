@@ -9,6 +9,8 @@ import random
 import pytest
 
 from tidemill import schemas
+from tidemill.catalog import feeds
+from tidemill.catalog.tables import LAYOUTS
 from tidemill.plans import comments
 from tidemill.sources.files import read_csv
 from tidemill.sources.free_text import read_free_text, read_records
@@ -88,3 +90,22 @@ def test_a_large_feed_is_cleaned_with_rejects_from_one_reading(spark, folder, sm
         bad = spark.read.parquet(f"{folder}-bad-{large}")
         assert tuples(bad) == [(None, "text\nhere", "bad", "n")]
     assert tuples(spark.read.parquet(f"{folder}-True")) == tuples(spark.read.parquet(f"{folder}-False"))
+
+
+def test_no_task_writes_the_whole_large_feed(spark, folder, small_splits, monkeypatch):
+    paths = []
+
+    def path_of(spark, name):
+        paths.append(f"{folder}/{name}")
+        return paths[-1]
+
+    monkeypatch.setattr(feeds, "new_path", path_of)
+    rows = [(n, f'line {n}\n"quoted", and more\n' * 20, "en", None if n % 7 == 0 else "s", n) for n in range(60)]
+    given = spark.createDataFrame(rows, LAYOUTS["documents"])
+    given.repartition(6).write.parquet(f"{folder}/documents.parquet")
+    found = feeds.csv_large_file(spark, folder)
+    kept = given.drop("doc_id").dropna()
+    assert found.count() == 51 and found.exceptAll(kept).isEmpty()
+    files = [name for name in os.listdir(paths[0]) if name.endswith(".csv")]
+    assert len(files) > 1
+    assert spark.read.text([f"{paths[0]}/{name}" for name in files]).rdd.getNumPartitions() > len(files)

@@ -99,10 +99,15 @@ def csv_to_parquet_clean(spark: SparkSession, folder: str) -> DataFrame:
     return comments.csv_to_parquet_clean(spark, path, new_path(spark, "clean"), DOCUMENT)
 
 
+# Splits of a table that one task writes to a file: some hundred MB, which are read in splits again.
+LARGE_FILE_SPLITS = 4
+
+
 def csv_large_file(spark: SparkSession, folder: str) -> DataFrame:
-    """The cleaned feed from one file of texts with line breaks, read in splits."""
-    path = new_path(spark, "free-text")
-    table(spark, folder, "documents").drop("doc_id").coalesce(1).write.options(
+    """The cleaned feed from a few large files of texts with line breaks, each read in splits."""
+    path, documents = new_path(spark, "free-text"), table(spark, folder, "documents").drop("doc_id")
+    files = -(-documents.rdd.getNumPartitions() // LARGE_FILE_SPLITS)
+    documents.coalesce(max(files, 1)).write.options(
         header="true", escape='"', ignoreLeadingWhiteSpace="false", ignoreTrailingWhiteSpace="false"
     ).csv(path)
     return comments.csv_to_parquet_clean(spark, path, new_path(spark, "clean"), DOCUMENT, large_files=True)
