@@ -87,6 +87,63 @@ def test_groups_of_odd_rows(frame, odd_rows):
     assert superminhash.near_duplicates(frame([])).count() == 0
 
 
+def test_texts_that_are_nearly_alike_are_compared_in_blocks(frame, monkeypatch):
+    source = random.Random(31)
+    base = sentence(source, 150).split()
+    texts = [" ".join(base)]
+    for n in range(400):
+        # From 0 to 20 other words: alike enough to the first, to some of the family, or to none.
+        other = list(base)
+        for at in source.sample(range(len(base)), n % 21):
+            other[at] = f"w{n}x{at}"
+        texts.append(" ".join(other))
+    sets = {n: shingles(text, 2) for n, text in enumerate(texts)}
+    groups = Groups()
+    for a, b in combinations(sets, 2):
+        both = len(sets[a] & sets[b])
+        if 100 * both >= 80 * (len(sets[a]) + len(sets[b]) - both):
+            groups.link(a, b)
+    assert len({groups.root(n) for n in sets}) > 50
+    compared, write = [], superminhash.write_table
+
+    def counted(df, name):
+        table = write(df, name)
+        if name in ("pairs", "links-found"):
+            compared.append(table.count())
+        return table
+
+    monkeypatch.setattr(superminhash, "write_table", counted)
+    for block in (superminhash.BLOCK_SHINGLES, 2000):
+        monkeypatch.setattr(superminhash, "BLOCK_SHINGLES", block)
+        compared.clear()
+        found = superminhash.near_duplicates(frame(list(enumerate(texts))), size=2).collect()
+        assert {r.doc_id: r.component_id for r in found} == {n: groups.root(n) for n in sets}
+        assert sum(compared) < 16 * len(texts), "rows of pairs grow with the texts, not with their square"
+
+
+def test_blocks_cut_by_batches_are_compared_whole():
+    source = random.Random(32)
+    rows = []
+    for key in range(6):
+        own = [sentence(source, 30) for _ in range(3)]
+        outside = [(key, 0, 0, 0, 100 * key + n, 100 * key + n, own[n]) for n in range(2)]
+        rows += outside + [(key, 0, 0, 1, 100 * key + 10 + n, 100 * key + 10, text) for n, text in enumerate([own[0], "", own[2], own[1]])]
+    kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.string()]
+    names = ["key", "theirs", "ours", "side", "id", "component", "text"]
+    expected = {(100 * key, 100 * key + 10) for key in range(6)} | {(100 * key + 1, 100 * key + 13) for key in range(6)}
+    for step in (1, 4, 5, 6, 100):
+        batches = [
+            pa.record_batch([pa.array(c, k) for c, k in zip(zip(*rows[n : n + step]), kinds, strict=True)], names)
+            for n in range(0, len(rows), step)
+        ]
+        found = [
+            pair
+            for batch in superminhash._linked(2, 80)(iter(batches))
+            for pair in zip(batch.column("a").to_pylist(), batch.column("b").to_pylist(), strict=True)
+        ]
+        assert len(found) == len(expected) and set(found) == expected
+
+
 def test_signatures_estimate_without_bias():
     source = np.random.default_rng(4)
     pool = source.integers(0, 2**63, 4000).astype(np.uint64)

@@ -8,10 +8,11 @@ round ``j`` are at least ``j``, a document is done as soon as all its components
 With ``m`` a prime and any step but 0 the ranks are a permutation.
 
 Signatures are cut into bands. Documents with the same set of shingles become one class
-first. In each band's bucket, classes are compared with one centre, not with each other;
-whatever the comparison leaves apart is compared again, in rounds, with further centres
-outside the bucket's largest group, until every pair of different groups has been compared.
-Links are confirmed on the full shingle sets, and groups found by union-find.
+first. In each band's bucket, classes are compared with one centre, not with each other, and who is
+left apart with a few of the bucket's largest group. What this leaves outside that group is compared
+with all others of the bucket on the full shingle sets, a block of texts with a block of texts in a
+task, so that a text is a row for each block and not for each pair. Links are confirmed on the full
+shingle sets, and groups found by union-find.
 """
 
 from __future__ import annotations
@@ -41,6 +42,10 @@ DIFFERENT = 50
 _EMPTY = np.uint32(0xFFFFFFFF)
 # Bytes of texts, or of pairs of texts, handed to Python together, and of a slice of them.
 BATCH_BYTES, SLICE_BYTES = 8 << 20, 1 << 19
+# Shingles of the texts of a block; a longer text is a block of its own, with a few others at most.
+BLOCK_SHINGLES = 1 << 17
+# Size of the filter of documents in shared buckets at most: 16 MB.
+FILTER_BITS = 1 << 27
 
 
 def shingles(data: np.ndarray, offsets: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -162,6 +167,67 @@ def _alike(size: int, percent: int):
     return run
 
 
+def _linked(size: int, percent: int):
+    """Links of the outsiders of each block to its other rows; rows come sorted by block, outsiders first.
+
+    One link of an outsider to each other group is enough to join the groups.
+    """
+
+    def linked(rows: pa.RecordBatch, bounds: list[int]) -> Iterator[pa.RecordBatch]:
+        parts = [shingles(data, offsets, size) for _, data, offsets in ragged.slices(rows, "text", SLICE_BYTES)]
+        elements = np.concatenate([part for part, _ in parts])
+        sizes = np.concatenate([np.diff(first) for _, first in parts])
+        first = np.concatenate(([0], np.cumsum(sizes)))
+        ids, groups = rows.column("id").to_numpy(), rows.column("component").to_numpy()
+        others = np.concatenate(([0], np.cumsum(rows.column("side").to_numpy() == 0)))
+        left, right = [], []
+        for low, high in zip(bounds, bounds[1:], strict=False):
+            split = low + int(others[high] - others[low])
+            if split == low or split == high:
+                continue
+            different, codes = np.unique(elements[first[low] : first[high]], return_inverse=True)
+            begin = first[low : high + 1] - first[low]
+            theirs, ends = codes[begin[split - low] :], begin[split - low :] - begin[split - low]
+            mark = np.zeros(len(different), np.int32)
+            for k in range(low, split):
+                own = codes[begin[k - low] : begin[k - low + 1]]
+                mark[own] = 1
+                shared = ragged.per_document(mark[theirs], ends)
+                mark[own] = 0
+                alike = (shared > 0) & (100 * shared >= percent * (len(own) + sizes[split:high] - shared))
+                found = np.flatnonzero(alike & (groups[split:high] != groups[k]))
+                if len(found):
+                    found = found[np.unique(groups[split:high][found], return_index=True)[1]]
+                    left += [int(ids[k])] * len(found)
+                    right += ids[split:high][found].tolist()
+        yield pa.RecordBatch.from_arrays([pa.array(left, pa.int64()), pa.array(right, pa.int64())], ["a", "b"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept: list[pa.RecordBatch] = []
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            block = np.stack([batch.column(name).to_numpy() for name in _BLOCK], 1)
+            begins = np.flatnonzero(np.any(block[1:] != block[:-1], axis=1)) + 1
+            if kept and any(kept[-1].column(name)[-1] != batch.column(name)[0] for name in _BLOCK):
+                begins = np.append(0, begins)
+            if len(begins):
+                # Blocks that end in this batch, the first with its rows of batches before.
+                head = pa.Table.from_batches([*kept, batch.slice(0, int(begins[-1]))]).combine_chunks().to_batches()[0]
+                before = head.num_rows - int(begins[-1])
+                yield from linked(head, [0, *(before + begins).tolist()])
+                kept = []
+            kept.append(batch.slice(int(begins[-1]) if len(begins) else 0))
+        if kept:
+            last = pa.Table.from_batches(kept).combine_chunks().to_batches()[0]
+            yield from linked(last, [0, last.num_rows])
+
+    return run
+
+
+_BLOCK = ["key", "theirs", "ours"]
+
+
 def _carried() -> list[str]:
     """What is compared before texts: the number of shingles and the sketch."""
     return ["n_shingles", *[f"sketch_{k}" for k in range(SKETCH)]]
@@ -190,6 +256,36 @@ def _confirmed(pairs: DataFrame, plain: DataFrame, size: int, percent: int) -> D
     return rows.mapInArrow(_alike(size, percent), "a long, b long")
 
 
+def _maybe_in(wanted: DataFrame):
+    """Leaves out texts whose ``id`` surely is not in ``wanted``, by a Bloom filter.
+
+    The filter has 16 bits an id but at most ``FILTER_BITS``; a full one lets everything through, which is only slower.
+    """
+    bits = min(max(1 << (16 * wanted.count()).bit_length(), 1 << 10), FILTER_BITS)
+    mixed = F.xxhash64("id")
+    places = F.array(mixed.bitwiseAND(bits - 1), F.shiftrightunsigned(mixed, 32).bitwiseAND(bits - 1))
+    words = (
+        wanted.select(F.explode(places).alias("place"))
+        .groupBy(F.shiftright("place", 6).alias("word"))
+        .agg(F.bit_or(F.expr("shiftleft(1L, CAST(place & 63 AS INT))")).alias("bits"))
+        .toPandas()
+    )
+    filled = np.zeros(bits // 64, np.uint64)
+    filled[words["word"].to_numpy(np.int64)] = words["bits"].to_numpy(np.int64).astype(np.uint64)
+    shipped = wanted.sparkSession.sparkContext.broadcast(filled)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            hashes = batch.column("mixed").to_numpy().view(np.uint64)
+            keep = np.ones(len(hashes), bool)
+            for place in (hashes, hashes >> np.uint64(32)):
+                place = place & np.uint64(bits - 1)
+                keep &= (shipped.value[place >> np.uint64(6)] >> (place & np.uint64(63)) & np.uint64(1)).astype(bool)
+            yield batch.select(["id", "text"]).filter(pa.array(keep))
+
+    return run
+
+
 def _open_buckets(members: DataFrame, groups: DataFrame) -> DataFrame:
     """Members (key, id, component, top) of the buckets that hold several groups; ``top`` is the largest, of ``top_size``."""
     named = groups.select(F.col("id").alias("known"), "component")
@@ -221,30 +317,32 @@ def _majority_pairs(open_: DataFrame, turn: int, partners: int, percent: int) ->
     return met.select(F.least("outsider", "id").alias("a"), F.greatest("outsider", "id").alias("b"))
 
 
-def _next_pairs(open_: DataFrame, centres: int, partners: int, percent: int) -> tuple[DataFrame, DataFrame]:
-    """Pairs of a bucket's first ``centres`` members outside its largest group with the first
-    ``partners`` of each other group, and the buckets where there are more of either.
+def _links_apart(open_: DataFrame, plain: DataFrame, size: int, percent: int) -> DataFrame:
+    """Links (a, b) between members of different groups that share a bucket of ``open_``.
 
-    Of two members of different groups at least one is outside the largest, so with all of
-    them as centres every pair is compared. Few partners are enough to join most members to
-    their group, after which its other members need no comparison.
+    Of two members of different groups at least one is outside the largest. Those are dealt to blocks,
+    as are all members, by hash and by the number of shingles in the bucket, and each block of the
+    one meets each block of the other.
     """
+    apart = F.col("component") != F.col("top")
+    blocks = lambda n: F.ceil(n / BLOCK_SHINGLES).cast("int")
+    dealt = open_.groupBy("key").agg(
+        blocks(F.sum(F.when(apart, F.col("n_shingles")))).alias("n_ours"), blocks(F.sum("n_shingles")).alias("n_theirs")
+    )
+    placed = join_splittable(open_.select("key", "id", "component", "top", "n_shingles"), dealt, ["key"])
     mixed = F.xxhash64("id", "key")
-    outside = open_.where(F.col("component") != F.col("top")).withColumn(
-        "turn", F.row_number().over(Window.partitionBy("key").orderBy(mixed, "id"))
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    ours = placed.where(apart).select(
+        "key", every("n_theirs").alias("theirs"), F.pmod(mixed, "n_ours").cast("int").alias("ours"), F.lit(0).alias("side"), "id", "component"
     )
-    inside = open_.withColumn("turn", F.row_number().over(Window.partitionBy("key", "component").orderBy(mixed, "id")))
-    centre = _own(
-        outside.where(F.col("turn") <= centres),
-        F.col("key").alias("at"), F.col("id").alias("centre"), F.col("component").alias("own"),
-    )
-    near = (F.col("key") == F.col("at")) & (F.col("component") != F.col("own")) & _may_be_alike(percent)
-    pairs = inside.where(F.col("turn") <= partners).join(centre, near)
-    pairs = pairs.select(F.least("centre", "id").alias("a"), F.greatest("centre", "id").alias("b")).distinct()
-    # One beyond the limit tells that there are more, and lets Spark keep no others.
-    later = outside.where(F.col("turn") <= centres + 1).where(F.col("turn") > centres).select("key")
-    more = inside.where(F.col("turn") <= partners + 1).where(F.col("turn") > partners).select("key")
-    return pairs, later.union(more)
+    theirs = placed.select(
+        "key", F.pmod(mixed, "n_theirs").cast("int").alias("theirs"), every("n_ours").alias("ours"), F.lit(1).alias("side"), "id", "component"
+    )
+    met = ours.select(*theirs.columns).unionByName(theirs)
+    texts = plain.join(open_.select("id").distinct(), "id", "left_semi")
+    rows = met.join(texts.withColumnRenamed("id", "known"), F.col("id") == F.col("known")).drop("known")
+    rows = rows.repartition(*_BLOCK).sortWithinPartitions(*_BLOCK, "side")
+    return rows.mapInArrow(_linked(size, percent), "a long, b long")
 
 
 def near_duplicates(documents: DataFrame, *, size: int = 5, percent: int = 80) -> DataFrame:
@@ -290,12 +388,16 @@ def _groups(plain: DataFrame, signed: DataFrame, size: int, percent: int) -> Dat
     carried = one_each.select(F.col("id").alias("known"), *_carried())
     members = shared.join(carried, F.col("id") == F.col("known")).drop("known")
     members = write_table(members, "buckets")
+    # What follows reads the texts that are in any bucket with others, and shuffles no more than those.
+    wanted = write_table(members.select("id").distinct(), "bucket-ids")
+    likely = plain.withColumn("mixed", F.xxhash64("id")).mapInArrow(_maybe_in(wanted), "id long, text string")
+    plain = write_table(likely.join(wanted, "id", "left_semi"), "bucket-texts")
     compared = members.where("id > centre").select(F.col("centre").alias("a"), "id", *_carried()).distinct()
     first = _own(carried, F.col("known"))
     compared = compared.join(first, (F.col("a") == F.col("known")) & _may_be_alike(percent))
     compared = write_table(compared.select("a", F.col("id").alias("b")).distinct(), "pairs")
     groups = components(copies.unionByName(_confirmed(compared, plain, size, percent)))
-    members, centres, partners, turn, helps = members.drop("centre"), 16, 4, 0, True
+    members, partners, turn, helps = members.drop("centre"), 4, 0, True
     while helps:
         open_ = write_table(_open_buckets(members, groups), "open-buckets")
         turn += 1
@@ -308,17 +410,9 @@ def _groups(plain: DataFrame, signed: DataFrame, size: int, percent: int) -> Dat
         compared = compared.unionByName(further)
         # Few links for many pairs: who is left has none with most of the family, or none at all.
         helps = tried > 0 and links.count() * 8 >= tried
-    while True:
-        open_ = write_table(_open_buckets(members, groups), "open-buckets")
-        if open_.isEmpty():
-            return groups
-        pairs, later = _next_pairs(open_, centres, partners, percent)
-        further = write_table(pairs.join(compared, ["a", "b"], "left_anti"), "pairs")
-        if further.isEmpty():
-            if later.isEmpty():
-                return groups
-        else:
-            known = groups.select(F.col("id").alias("a"), F.col("component").alias("b"))
-            groups = components(known.unionByName(_confirmed(further, plain, size, percent)))
-            compared = compared.unionByName(further)
-        centres, partners = 16 * centres, 16 * partners
+    open_ = write_table(_open_buckets(members, groups), "open-buckets")
+    if open_.isEmpty():
+        return groups
+    links = write_table(_links_apart(open_, plain, size, percent), "links-found")
+    known = groups.select(F.col("id").alias("a"), F.col("component").alias("b"))
+    return components(known.unionByName(links))
