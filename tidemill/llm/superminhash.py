@@ -396,7 +396,9 @@ def _groups(plain: DataFrame, signed: DataFrame, size: int, percent: int) -> Dat
     first = _own(carried, F.col("known"))
     compared = compared.join(first, (F.col("a") == F.col("known")) & _may_be_alike(percent))
     compared = write_table(compared.select("a", F.col("id").alias("b")).distinct(), "pairs")
-    groups = components(copies.unionByName(_confirmed(compared, plain, size, percent)))
+    # Written first, as a task would hold two Python workers if union-find read them from the comparison.
+    links = write_table(_confirmed(compared, plain, size, percent), "links-found")
+    groups = components(copies.unionByName(links))
     members, partners, turn, helps = members.drop("centre"), 4, 0, True
     while helps:
         open_ = write_table(_open_buckets(members, groups), "open-buckets")
