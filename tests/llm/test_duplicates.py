@@ -5,6 +5,7 @@ from __future__ import annotations
 import random
 import re
 import time
+from collections import Counter
 from itertools import combinations
 
 import numpy as np
@@ -352,6 +353,54 @@ def test_a_passage_of_phrases_that_many_hold_is_found(frame):
     assert found == {(1, 0), (333, 332), (665, 664)}
 
 
+@pytest.fixture(scope="module")
+def common_phrase():
+    """Documents with one phrase too short for a passage; 10 of them have passages that the phrase is in, two by two."""
+    source, rows = random.Random(15), []
+    rare = lambda n: " ".join(f"w{source.randrange(10**6)}" for _ in range(n))
+    phrase = rare(12)
+    for n in range(240):
+        if n % 24 == 0:
+            own = " ".join((rare(30), phrase, rare(30)))
+        around = own if n % 24 in (0, 7) and n < 120 else " ".join((rare(30), phrase, rare(30)))
+        rows.append((n, " ".join((rare(20), edited(source, around, 0.04) if n % 24 == 7 else around))))
+    return rows
+
+
+@pytest.mark.parametrize("block", [7, 8192])
+def test_a_phrase_of_many_documents_makes_few_pairs(frame, common_phrase, monkeypatch, block):
+    handed, points = [], passage_chains._points
+
+    def counted(shared, pairs):
+        handed.append(pairs.count())
+        return points(shared, pairs)
+
+    monkeypatch.setattr(passage_chains, "_points", counted)
+    monkeypatch.setattr(passage_chains, "BLOCK", block, raising=False)
+    found = {(r.doc_id, r.source_id) for r in passage_chains.repeated_passages(frame(common_phrase)).collect()}
+    assert found == {(n + 7, n) for n in range(0, 120, 24)}
+    assert sum(handed) < len(common_phrase), "28,680 pairs hold the phrase"
+
+
+def test_windows_that_may_hold_a_passage_meet():
+    """Blocks lose no pair that the numbers of words and pairs of words alike let through."""
+    source = np.random.default_rng(3)
+    near = [source.integers(0, 40, source.integers(30, 96)).astype(np.uint16) for _ in range(60)]
+    near += [np.where(source.random(len(x)) < 0.1, 99, x).astype(np.uint16) for x in near[:20]]
+    rows = [(1, n, n, False, True, n % 2, x.tobytes(), one, other) for n, x in enumerate(near) for one, other in ((0, 0), (0, 1), (1, 1)) if n % 2 in (one, other)]
+    rows.sort(key=lambda r: r[-2:])
+    names = ["seed", "class", "component", "covered", "open", "part", "near", "one", "other"]
+    batch = pa.RecordBatch.from_pydict(dict(zip(names, map(list, zip(*rows, strict=True)), strict=True)))
+    met = set()
+    for b in passage_chains._meeting(20, 8)(iter([batch.slice(0, 50), batch.slice(50, 61), batch.slice(111)])):
+        new = list(zip(b["class"].to_pylist(), b["first"].to_pylist(), strict=True))
+        met.update(new)
+    many = lambda x, y: sum((Counter(x) & Counter(y)).values())
+    two = [list(zip(x.tolist(), x[1:].tolist(), strict=False)) for x in near]
+    alike = {(b, a) for a, b in combinations(range(len(near)), 2) if many(two[a], two[b]) >= 8 and many(near[a].tolist(), near[b].tolist()) >= 20}
+    assert met >= alike and len(alike) >= 20
+
+
 @pytest.mark.parametrize(("n", "percent"), [(50, 80), (50, 90), (60, 85), (100, 80), (200, 80)])
 def test_passages_as_unlike_as_stated_are_found(n, percent):
     source, found = np.random.default_rng(n + percent), 0
