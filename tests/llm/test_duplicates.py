@@ -382,6 +382,24 @@ def test_a_phrase_of_many_documents_makes_few_pairs(frame, common_phrase, monkey
     assert sum(handed) < len(common_phrase), "28,680 pairs hold the phrase"
 
 
+def test_runs_of_one_word_make_no_pairs(frame, monkeypatch):
+    """Texts with one word 38 times share a single seed, which is no chain, however many they are."""
+    source, handed, points = random.Random(16), [], passage_chains._points
+    rare = lambda n: " ".join(f"w{source.randrange(10**6)}" for _ in range(n))
+    rows = [(n, " ".join((rare(30), "of " * 38 + rare(30)))) for n in range(60)]
+    shared = rare(60)
+    rows += [(100 + n, " ".join((rare(30), shared, rare(30)))) for n in range(2)]
+
+    def counted(shared, pairs):
+        handed.append(pairs.count())
+        return points(shared, pairs)
+
+    monkeypatch.setattr(passage_chains, "_points", counted)
+    found = {(r.doc_id, r.source_id) for r in passage_chains.repeated_passages(frame(rows)).collect()}
+    assert found == {(101, 100)}
+    assert sum(handed) < len(rows), "1,770 pairs hold the word"
+
+
 def test_windows_that_may_hold_a_passage_meet():
     """Blocks lose no pair that the numbers of words and pairs of words alike let through."""
     source = np.random.default_rng(3)
